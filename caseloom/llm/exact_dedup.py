@@ -20,7 +20,13 @@ from pyspark.sql import functions as F
 from .common import settle, shared_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk with bounded memory; without preallocation, which would cost each of many small stores some MB of disk.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 #: Bits of the filter of hit digests that is broadcast: 2**22 bits are 0.5 MB, whatever the input.
 FILTER_BITS = 22
 
@@ -52,11 +58,9 @@ def run_state(spark: SparkSession, keys_path: str, schema, work: str) -> DataFra
     The state's checkpoint lies in the shared folder, so a lost executor's partitions are reloaded
     from there, and a later call with the same folder goes on where this one ended.
     """
-    name, bounded = "spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage"
-    before = {k: spark.conf.get(k, None) for k in (name, bounded, "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB")}
-    spark.conf.set(name, ROCKS)
-    spark.conf.set(bounded, "true")
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "200")
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
     try:
         stream = spark.readStream.schema(schema).parquet(keys_path)
         out = f"{work}/state"
