@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, mixing, sharding
+from . import bpe, exact_dedup, mixing, near_dedup, sharding
 
 QUERIES = {
     "op5_sharding": sharding.op5_sharding,
     "op7_bpe": bpe.op7_bpe,
     "op8_mixing": mixing.op8_mixing,
+    "op9_near_dedup": near_dedup.op9_near_dedup,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
