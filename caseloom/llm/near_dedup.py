@@ -9,10 +9,10 @@ own edits. Improved consistent weighted sampling (Ioffe 2010) gives BANDS x ROWS
 (shingle, t) of least ln a; texts that agree in all samples of a band are candidates, and candidates
 are verified by their exact weighted Jaccard similarity.
 
-Every pair of candidates is compared, or lies in one component already, or is excluded by the triangle
-inequality of the weighted Jaccard distance: each band bucket is first compared with its leader (the
-least id), then what isn't in the bucket's largest component is compared with the rest. So no bucket
-is enumerated as pairs and none is capped. With 16 bands of 4 a pair of similarity 0.8 is missed with
+Every pair of candidates is compared or lies in one component already: each band bucket is first
+compared with its leader (the least id); then the strays, which aren't in the bucket's largest
+component, are compared with all the rest, as listed pairs in small buckets and in blocks of bounded
+size, by matrix products, in large ones. So no large bucket is enumerated as pairs and none is capped. With 16 bands of 4 a pair of similarity 0.8 is missed with
 probability 0.0002.
 
 Defined results: rows with equal texts share a group, empty ones too; null text counts as empty; a
@@ -25,6 +25,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,8 @@ BANDS, ROWS = 16, 4
 SLOTS = 1 << 20
 RARE = 1 / 500
 DAMP = 0.25
+#: Buckets up to this size are compared by listed pairs, larger ones in blocks of so many strays and members.
+SMALL, STRAYS, MEMBERS = 32, 512, 2048
 #: Rows of the table of random numbers; shingles that share a row share its numbers, which can only add candidates.
 TABLE = 1 << 16
 
@@ -153,6 +156,48 @@ def similarities(left: pa.Array, right: pa.Array, idf: np.ndarray) -> np.ndarray
     return out
 
 
+def _block_links(pdf: pd.DataFrame, idf: np.ndarray, threshold: float) -> pd.DataFrame:
+    """Links that join the components of a block's strays and members: enough of them, not all.
+
+    The sum of minima is at most the product of the weights' square roots, and equals it where
+    frequencies agree. These products are found by matrix products over slices of the shingles; only
+    pairs which they leave possible, and which aren't joined yet, are compared exactly.
+    """
+    pdf = pdf.sort_values(["stray", "id"], ascending=[False, True], kind="stable")
+    n = int(pdf["stray"].sum())
+    ids, texts = pdf["id"].to_numpy(), pa.array(pdf["text"])
+    labels = np.unique(pdf["component"].to_numpy(), return_inverse=True)[1]
+    parts = [(h, row + i, w) for i, _, h, row, w in weighted(texts, idf)]
+    h, row, w = (np.concatenate(x) for x in zip(*parts))
+    total = np.bincount(row, w, len(pdf))
+    _, which, count = np.unique(h, return_inverse=True, return_counts=True)
+    shared = count[which] > 1
+    which, row, w = which[shared], row[shared], np.sqrt(w[shared]).astype(np.float32)
+    order = np.argsort(which, kind="stable")
+    which, row, w = which[order], row[order], w[order]
+    product = np.zeros((n, len(pdf) - n), np.float32)
+    for first in range(0, len(count), 2048):
+        i, j = np.searchsorted(which, [first, first + 2048])
+        if j > i:
+            m = np.zeros((len(pdf), 2048), np.float32)
+            m[row[i:j], which[i:j] - first] = w[i:j]
+            product += m[:n] @ m[n:].T
+    possible = product >= (threshold - 1e-4) / (1 + threshold) * (total[:n, None] + total[None, n:])
+    out: list[tuple[int, int]] = []
+    while True:
+        possible &= labels[:n, None] != labels[None, n:]
+        x = np.flatnonzero(possible.any(1))
+        if not len(x):
+            return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+        y = np.where(possible[x], product[x], -1).argmax(1)
+        possible[x, y] = False
+        near = similarities(texts.take(pa.array(x)), texts.take(pa.array(y + n)), idf) >= threshold - 1e-12
+        for i, j in zip(x[near], y[near] + n):
+            out.append((int(ids[i]), int(ids[j])))
+            if labels[i] != labels[j]:
+                labels[labels == labels[j]] = labels[i]
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, work: str | None = None, carry: bool = False) -> DataFrame:
     """doc_id, group_id (least doc_id of the group), digest of the text, for each row of ``docs``."""
     work = work or shared_dir(spark)
@@ -202,16 +247,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
     near = verify(pairs, "first")
     links = near.where(F.col("s") >= threshold - 1e-12).select("a", "b")
     groups = settle(components(links, f"{work}/cc1"), f"{work}/groups1")
-    # What the leaders leave open: members of a bucket in different components.
-    placed = members.join(groups, "id", "left").select("id", "bucket", "leader", F.coalesce("component", "id").alias("component"))
-    split = placed.groupBy("bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 != c2").select("bucket")
-    distance = near.select(F.col("a").alias("leader"), F.col("b").alias("id"), (1 - F.col("s")).alias("d"))
-    open_ = settle(placed.join(split, "bucket", "left_semi").join(distance, ["leader", "id"], "left").select("bucket", "id", "component", F.coalesce("d", F.lit(0.0)).alias("d")), f"{work}/open")
-    most = open_.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max(F.struct("count", "component"))["component"].alias("top"))
-    others = open_.join(most, "bucket").where("component != top").select("bucket", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("d").alias("dx"), "top")
-    rest = others.join(open_, "bucket").where(F.expr(f"component != cx AND (component = top OR x < id) AND d > 0 AND dx > 0 AND abs(dx - d) <= {1 - threshold} + 1e-9"))
-    rest = rest.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct().join(near, ["a", "b"], "left_anti")
-    more = verify(settle(rest, f"{work}/rest"), "second").where(F.col("s") >= threshold - 1e-12).select("a", "b")
+    # What the leaders leave open: members of a bucket in different components. Strays are those outside
+    # the bucket's largest component; pairs are listed for small buckets only, of at most SMALL members.
+    placed = members.join(groups, "id", "left").select("id", "bucket", F.coalesce("component", "id").alias("component"))
+    split = placed.groupBy("bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count(F.lit(1)).alias("n")).where("c1 != c2").select("bucket", "n")
+    open_ = settle(placed.join(split, "bucket"), f"{work}/open")
+    tops = open_.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max(F.struct("count", "component")).alias("m")).select("bucket", F.col("m.component").alias("top"), F.col("m.count").alias("of_top"))
+    ranked = settle(open_.join(tops, "bucket"), f"{work}/ranked")
+    strays = ranked.where("component != top")
+    few = strays.where(F.col("n") <= SMALL).select("bucket", F.col("id").alias("x"), F.col("component").alias("cx"), "top")
+    few = few.join(ranked.where(F.col("n") <= SMALL).select("bucket", "id", "component"), "bucket").where("component != cx AND (component = top OR x < id)")
+    few = few.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct().join(near, ["a", "b"], "left_anti")
+    more = verify(settle(few, f"{work}/few"), "second").where(F.col("s") >= threshold - 1e-12).select("a", "b")
+    # Large buckets: blocks of strays against blocks of members, each compared inside one task.
+    large = F.col("n") > SMALL
+    lefts, rights = F.ceil((F.col("n") - F.col("of_top")) / STRAYS).cast("int"), F.ceil(F.col("n") / MEMBERS).cast("int")
+    own = lambda count: F.pmod(F.xxhash64("id"), count).cast("int")
+    grid = strays.where(large).select("bucket", "id", "component", F.lit(True).alias("stray"), own(lefts).alias("left"), F.explode(F.sequence(F.lit(0), rights - 1)).alias("right"))
+    grid = grid.unionByName(ranked.where(large).select("bucket", "id", "component", F.lit(False).alias("stray"), F.explode(F.sequence(F.lit(0), lefts - 1)).alias("left"), own(rights).alias("right")))
+    compare = lambda pdf: _block_links(pdf, idf.value, threshold)
+    blocks = settle(grid.join(bodies, "id").groupBy("bucket", "left", "right").applyInPandas(compare, "a bigint, b bigint"), f"{work}/blocks")
+    more = more.union(blocks)
     if not more.isEmpty():
         groups = settle(components(links.union(more), f"{work}/cc2"), f"{work}/groups2")
     named = texts.join(groups, "id", "left").select("digest", F.coalesce("component", "id").alias("group_id"))
