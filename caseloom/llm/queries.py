@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, mixing, near_dedup, sharding
+from . import bpe, exact_dedup, mixing, near_dedup, quality, sharding, toxicity
 
 QUERIES = {
+    "op1_quality": quality.op1_quality,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op5_sharding": sharding.op5_sharding,
     "op7_bpe": bpe.op7_bpe,
     "op8_mixing": mixing.op8_mixing,
