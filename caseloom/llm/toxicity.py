@@ -26,7 +26,7 @@ from . import textkit
 from .common import fold, table
 from .training import labelled_sample
 
-MOST = 12_000
+MOST = 8_000
 WORDS = 512
 #: Lengths in bytes of the beginnings of words that are features beside the words: inflected and compound forms share them.
 PREFIXES = (4, 5, 6, 7, 8)
@@ -51,11 +51,12 @@ def features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     for n in PREFIXES:
         longer = e - s > n
         found.append((textkit.span_hashes(low, s[longer], s[longer] + n) ^ np.uint64(n), row[longer]))
-    return tuple(np.concatenate(x) for x in zip(*found))
+    h, row = (np.concatenate(x) for x in zip(*found))
+    return (h >> np.uint64(32)).astype(np.uint32), row
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """label and the distinct word hashes of each text."""
+    """label and the distinct features of each text, as 32-bit integers."""
     for batch in batches:
         bags: list[bytes] = []
         for i, j, data, off in textkit.chunks(batch.column(0)):
@@ -68,25 +69,29 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(labels: np.ndarray, bags: list[np.ndarray], identity=IDENTITY, seed: int = 3) -> tuple[np.ndarray, np.ndarray, float]:
-    """Sorted word hashes, their weights and the bias."""
-    terms = np.unique(textkit.hash_words([t.encode() for t in identity]))
+    """Sorted features, their weights and the bias."""
+    terms = np.unique((textkit.hash_words([t.encode() for t in identity]) >> np.uint64(32)).astype(np.uint32))
     n, y = len(labels), labels.astype(np.float64)
     if not n or y.min() == y.max():
         share = float(y.mean()) if n else 0.0
-        return np.zeros(0, np.uint64), np.zeros(0, np.float32), float(np.log((share + 1e-6) / (1 - share + 1e-6)))
-    flat, owner = np.concatenate(bags), np.repeat(np.arange(n), [len(b) for b in bags])
-    vocab, which = np.unique(flat, return_inverse=True)
-    df, pos = np.bincount(which), np.bincount(which, y[owner])
+        return np.zeros(0, np.uint32), np.zeros(0, np.float32), float(np.log((share + 1e-6) / (1 - share + 1e-6)))
+    # Feature and label in one integer, sorted in place: the counts follow without an index of all of them.
+    flat = np.concatenate([b.astype(np.uint64) << np.uint64(1) | np.uint64(label) for b, label in zip(bags, labels)])
+    flat.sort()
+    first = np.flatnonzero(np.diff(flat >> np.uint64(1), prepend=np.uint64(1 << 63)))
+    vocab = (flat[first] >> np.uint64(1)).astype(np.uint32)
+    df, pos = np.diff(np.append(first, len(flat))), np.add.reduceat((flat & np.uint64(1)).astype(np.uint32), first)
+    del flat
     p = y.mean()
     chi = np.where(df >= 3, (pos - df * p) ** 2 / (df * p * (1 - p) + 1), 0)
     chi[chi < CHI] = -1
     chosen = np.argsort(-chi, kind="stable")[:WORDS]
-    best = np.sort(np.union1d(vocab[chosen[chi[chosen] > 0]], terms))
-    at = np.searchsorted(best, flat)
-    at[at == len(best)] = 0
-    ok = best[at] == flat
+    best = np.union1d(vocab[chosen[chi[chosen] > 0]], terms)
     x = np.zeros((n, len(best)), np.float32)
-    x[owner[ok], at[ok]] = 1
+    for k, bag in enumerate(bags):
+        at = np.searchsorted(best, bag)
+        at[at == len(best)] = 0
+        x[k, at[best[at] == bag]] = 1
     # The counterfactuals: for each text the term that is in, or put in, and the one that replaces it (-1: none).
     rng = np.random.default_rng(seed)
     spots = np.searchsorted(best, terms)
@@ -114,7 +119,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST, identity=IDENTIT
     sample = labelled_sample(docs, labels, "toxic", 3, 1, most)
     rows = sample.select("text", "label").mapInArrow(_bags, "label int, bag binary").collect()
     rows.sort(key=lambda r: (r["label"], bytes(r["bag"])))
-    return fit(np.array([r["label"] for r in rows]), [np.frombuffer(r["bag"], np.uint64) for r in rows], identity)
+    return fit(np.array([r["label"] for r in rows]), [np.frombuffer(r["bag"], np.uint32) for r in rows], identity)
 
 
 def score_texts(column: pa.Array, model: tuple[np.ndarray, np.ndarray, float]) -> np.ndarray:
