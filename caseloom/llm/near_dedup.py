@@ -16,8 +16,8 @@ size, by matrix products, in large ones. So no large bucket is enumerated as pai
 probability 0.0002.
 
 Defined results: rows with equal texts share a group, empty ones too; null text counts as empty; a
-text without words is near to nothing else; equal rows each come back; a group whose rows all lack a
-doc_id gets a negative id made from its text; an empty table gives an empty result.
+text without words is near to nothing else; equal rows each come back; a text whose rows all lack a
+doc_id has an id above 2**62 made from it, which is never the least of others; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -218,7 +218,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     signed = settle(docs.select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"), "text").mapInArrow(sign, f"doc_id {kind}, digest binary, bands array<bigint>"), f"{work}/signed")
-    stand_in = -1 - F.shiftrightunsigned(F.xxhash64("digest"), 2)
+    stand_in = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("digest"), 3)
     texts = settle(signed.groupBy("digest").agg(F.min("doc_id").cast("long").alias("id"), F.first("bands").alias("bands")).withColumn("id", F.coalesce("id", stand_in)), f"{work}/texts")
     # A doc_id that stands for several texts would merge their groups: texts that share their least doc_id get ids of their own.
     shared = texts.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
