@@ -32,6 +32,11 @@ def settle(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def pack(docs: DataFrame) -> DataFrame:
+    """row (all columns as they are), doc_id, text: so that no column's name can clash with an operator's."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
+
+
 def fold(column: Column, mod: int) -> Column:
     """crc32 of the value as text, modulo ``mod``; a null value counts as the empty text (remainder 0)."""
     return F.coalesce(F.crc32(column.cast("string")) % mod, F.lit(0)).cast("int")

@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import settle, shared_dir
+from .common import pack, settle, shared_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: State on disk with bounded memory; without preallocation, which would cost each of many small stores some MB of disk.
@@ -131,11 +131,11 @@ def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay; of equal rows with one doc_id, one."""
     from pyspark.sql import Window as W
 
-    verdict = exact_dedup(spark, docs).where("kept and group_size > 0").select("doc_id", "text_sha256").distinct()
-    digest = sha256(normalise(F.col("text")))
-    # Only repeated doc_ids can leave several rows for one (doc_id, text): these are numbered, others pass.
-    joined = docs.withColumn("_sha", digest).join(verdict.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_key")), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_key")), "left_semi")
-    return joined.withColumn("_n", F.row_number().over(W.partitionBy("doc_id", "_sha").orderBy("doc_id"))).where("_n = 1").drop("_n", "_sha")
+    verdict = exact_dedup(spark, docs).where("kept").select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("key")).distinct()
+    marked = pack(docs).withColumn("sha", sha256(normalise(F.col("text")))).drop("text")
+    joined = marked.join(verdict, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("sha") == F.col("key")), "left_semi")
+    # Only repeated doc_ids can leave several rows of one text.
+    return joined.withColumn("n", F.row_number().over(W.partitionBy("doc_id", "sha").orderBy("doc_id"))).where("n = 1").select("row.*")
 
 
 ORACLE = """

@@ -51,7 +51,7 @@ def targets(sizes: DataFrame, weights=(5, 2, 1), share: float = 1.5, most: float
 
 
 def mix(spark: SparkSession, docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 8, work: str | None = None, carry: list[str] | None = None) -> DataFrame:
-    """doc_id, size, source_size, target, taken, copies of each row of ``docs``, with the columns in ``carry``."""
+    """doc_id, size, source_size, target, taken, copies of each row of ``docs``, with the columns in ``carry`` as _c_<name>."""
     work = work or shared_dir(spark)
     carry = carry or []
     u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text"), 11).cast("double") + 0.5) / float(1 << 53)
@@ -83,7 +83,7 @@ def mix(spark: SparkSession, docs: DataFrame, weights=(5, 2, 1), share: float =
     dealt = dealt.join(small(settle(chosen, f"{work}/last")), F.col("_source").eqNullSafe(F.col("_last_source")), "left")
     extra = F.col("extra") + F.coalesce((F.col("rid") == F.col("_last")).cast("long"), F.lit(0))
     out = dealt.withColumn("copies", F.col("whole") + F.when(F.col("rest") > 0, extra).otherwise(0))
-    return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", *[F.col(f"_c_{c}").alias(c) for c in carry])
+    return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", *[f"_c_{c}" for c in carry])
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

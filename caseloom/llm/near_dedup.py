@@ -199,7 +199,10 @@ def _block_links(pdf: pd.DataFrame, idf: np.ndarray, threshold: float) -> pd.Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, work: str | None = None, carry: bool = False) -> DataFrame:
-    """doc_id, group_id (least doc_id of the group), digest of the text, for each row of ``docs``."""
+    """doc_id, group_id (least doc_id of the group), digest of the text, for each row of ``docs``.
+
+    With ``carry``: id, digest, group_id of each distinct text instead.
+    """
     work = work or shared_dir(spark)
     context = spark.sparkContext
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -270,9 +273,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
     more = more.union(blocks)
     if not more.isEmpty():
         groups = settle(components(links.union(more), f"{work}/cc2"), f"{work}/groups2")
-    named = texts.join(groups, "id", "left").select("digest", F.coalesce("component", "id").alias("group_id"))
+    named = texts.join(groups, "id", "left").select("id", "digest", F.coalesce("component", "id").alias("group_id"))
     if carry:
         return named
+    named = named.drop("id")
     return signed.select("doc_id", "digest").join(named, "digest").select("doc_id", "group_id", F.hex("digest").alias("digest"))
 
 

@@ -28,6 +28,8 @@ from .training import labelled_sample
 
 MOST = 8_000
 WORDS = 512
+#: Scores from here on are toxic.
+TOXIC = 0.7
 #: Lengths in bytes of the beginnings of words that are features beside the words: inflected and compound forms share them.
 PREFIXES = (4, 5, 6, 7, 8)
 #: A word whose statistic is below this may tell nothing; about what the largest of 100,000 chance values reaches.
@@ -153,4 +155,4 @@ def scores(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float]) -> Data
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = scores(docs, train(docs, table(spark, sf_dir, "labels")))
-    return found.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), F.col("toxic_score").alias("score"), (F.col("toxic_score") >= 0.7).cast("int").alias("predicted"))
+    return found.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), F.col("toxic_score").alias("score"), (F.col("toxic_score") >= TOXIC).cast("int").alias("predicted"))
