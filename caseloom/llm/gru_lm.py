@@ -24,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -320,20 +321,18 @@ def learn(spark: SparkSession, docs: DataFrame, work: str) -> tuple[Vocabulary,
 
     trainers = int(max(1, min(TRAINERS, want // PER_TRAINER)))
     chosen = docs.where(F.col("train") & (F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000)) < int(part * 1_000_000)))
-    sample = settle(chosen.select("text").mapInArrow(number, "ids binary").repartition(trainers, F.xxhash64("ids")), f"{work}/sample")
+    sample = settle(chosen.select("text").mapInArrow(number, "ids binary").withColumn("trainer", F.pmod(F.xxhash64("ids"), F.lit(trainers)).cast("int")), f"{work}/sample")
     for k in range(ROUNDS):
         now = spark.sparkContext.broadcast(p)
 
-        def work_on(batches: Iterator[pa.RecordBatch], now=now, k=k) -> Iterator[pa.RecordBatch]:
-            texts = [np.frombuffer(x.as_py(), np.uint16) for batch in batches for x in batch.column(0)]
-            if texts:
-                texts.sort(key=lambda x: x.tobytes()[:64])
-                texts = [texts[i] for i in np.random.default_rng(k).permutation(len(texts))]
-                new = train(now.value, shared.value, texts, RATE / (1 + k))
-                yield pa.RecordBatch.from_arrays([pa.array([sum(map(len, texts))], pa.int64()), pa.array([np.concatenate([x.ravel() for x in new.values()]).tobytes()], pa.binary())], ["n", "weights"])
+        def work_on(pdf: pd.DataFrame, now=now, k=k) -> pd.DataFrame:
+            texts = [np.frombuffer(x, np.uint16) for x in sorted(pdf["ids"])]
+            texts = [texts[i] for i in np.random.default_rng(k).permutation(len(texts))]
+            new = train(now.value, shared.value, texts, RATE / (1 + k))
+            return pd.DataFrame({"n": [sum(map(len, texts))], "weights": [np.concatenate([x.ravel() for x in new.values()]).tobytes()]})
 
-        # Each trainer's part is one group of the sample, TRAINERS at most; their weights are averaged.
-        grouped = sample.repartition(trainers, F.xxhash64("ids")).mapInArrow(work_on, "n bigint, weights binary").collect()
+        # Each trainer's part is one group of the sample, TRAINERS at most; their weights, 1 MB each, are averaged.
+        grouped = sample.groupBy("trainer").applyInPandas(work_on, "n bigint, weights binary").collect()
         weight = float(sum(r["n"] for r in grouped))
         if not weight:
             break

@@ -43,7 +43,7 @@ DAMP = 0.25
 #: Buckets up to this size are compared by listed pairs, larger ones in blocks of so many strays and members.
 SMALL, STRAYS, MEMBERS = 32, 512, 2048
 #: Rows of the table of random numbers; shingles that share a row share its numbers, which can only add candidates.
-TABLE = 1 << 16
+TABLE = 1 << 15
 
 
 def weighted(column: pa.Array, idf: np.ndarray | None, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -102,13 +102,13 @@ def _random_table(seed: int) -> tuple[np.ndarray, ...]:
         g = np.random.default_rng(seed)
         size = (TABLE, BANDS * ROWS)
         r = g.gamma(2, 1, size).astype(np.float32)
-        _tables[seed] = r, 1 / r, np.log(g.gamma(2, 1, size)).astype(np.float32), g.random(size).astype(np.float32)
+        _tables[seed] = r, np.log(g.gamma(2, 1, size)).astype(np.float32), g.random(size).astype(np.float32)
     return _tables[seed]
 
 
 def sample(h: np.ndarray, row: np.ndarray, weight: np.ndarray, seed: int = 9) -> tuple[np.ndarray, np.ndarray]:
     """Rows that have shingles, and for each and each sample the least ln a, which stands for its (shingle, t)."""
-    r, inv, lnc, beta = _random_table(seed)
+    r, lnc, beta = _random_table(seed)
     starts = np.flatnonzero(np.diff(row, prepend=-1))
     out = np.full((len(starts), BANDS * ROWS), np.inf, np.float32)
     place = ((h >> np.uint64(20)) % np.uint64(TABLE)).astype(np.int64)
@@ -117,7 +117,7 @@ def sample(h: np.ndarray, row: np.ndarray, weight: np.ndarray, seed: int = 9) ->
     for a in range(0, len(h), 4096):
         p = place[a : a + 4096]
         rr, b = r[p], beta[p]
-        x = s[a : a + 4096] * inv[p]
+        x = s[a : a + 4096] / rr
         x += b
         np.floor(x, out=x)
         x -= b

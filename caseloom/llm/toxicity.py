@@ -61,7 +61,7 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """label and the distinct features of each text, as 32-bit integers."""
     for batch in batches:
         bags: list[bytes] = []
-        for i, j, data, off in textkit.chunks(batch.column(0)):
+        for i, j, data, off in textkit.chunks(batch.column(0), 1 << 18):
             h, row = features(data, off)
             order = np.argsort(row, kind="stable")
             h, row = h[order], row[order]
@@ -128,7 +128,7 @@ def score_texts(column: pa.Array, model: tuple[np.ndarray, np.ndarray, float]) -
     best, w, b = model
     out = np.full(len(column), b)
     if len(best):
-        for i, j, data, off in textkit.chunks(column):
+        for i, j, data, off in textkit.chunks(column, 1 << 18):
             h, row = features(data, off)
             at = np.searchsorted(best, h)
             at[at == len(best)] = 0
