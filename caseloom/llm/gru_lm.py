@@ -322,17 +322,19 @@ def learn(spark: SparkSession, docs: DataFrame, work: str) -> tuple[Vocabulary,
     trainers = int(max(1, min(TRAINERS, want // PER_TRAINER)))
     chosen = docs.where(F.col("train") & (F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000)) < int(part * 1_000_000)))
     sample = settle(chosen.select("text").mapInArrow(number, "ids binary").withColumn("trainer", F.pmod(F.xxhash64("ids"), F.lit(trainers)).cast("int")), f"{work}/sample")
-    for k in range(ROUNDS):
-        now = spark.sparkContext.broadcast(p)
-
-        def work_on(pdf: pd.DataFrame, now=now, k=k) -> pd.DataFrame:
+    def trainer(now, k: int):
+        def work_on(pdf: pd.DataFrame) -> pd.DataFrame:
             texts = [np.frombuffer(x, np.uint16) for x in sorted(pdf["ids"])]
             texts = [texts[i] for i in np.random.default_rng(k).permutation(len(texts))]
             new = train(now.value, shared.value, texts, RATE / (1 + k))
             return pd.DataFrame({"n": [sum(map(len, texts))], "weights": [np.concatenate([x.ravel() for x in new.values()]).tobytes()]})
 
+        return work_on
+
+    for k in range(ROUNDS):
         # Each trainer's part is one group of the sample, TRAINERS at most; their weights, 1 MB each, are averaged.
-        grouped = sample.groupBy("trainer").applyInPandas(work_on, "n bigint, weights binary").collect()
+        now = spark.sparkContext.broadcast(p)
+        grouped = sample.groupBy("trainer").applyInPandas(trainer(now, k), "n bigint, weights binary").collect()
         weight = float(sum(r["n"] for r in grouped))
         if not weight:
             break
