@@ -45,7 +45,7 @@ def ingest(extractions: DataFrame, aliases: DataFrame) -> tuple[DataFrame, DataF
     them, not distinct nodes. A second ingest of the same input changes nothing.
     """
     docs = extractions.where("doc_id IS NOT NULL")
-    entry = lambda *pairs: F.map(*[x for k, c in pairs for x in (F.lit(k), c)])
+    entry = lambda *pairs: F.create_map(*[x for k, c in pairs for x in (F.lit(k), c)])
 
     def named(column: str, label: str, props) -> DataFrame:
         e = _listed(docs, column).withColumn("name", F.col("e.name")).where(T.valid_name(F.col("name")))
