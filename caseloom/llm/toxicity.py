@@ -72,7 +72,10 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(labels: np.ndarray, bags: list[np.ndarray], identity=IDENTITY, seed: int = 3) -> tuple[np.ndarray, np.ndarray, float]:
     """Sorted features, their weights and the bias."""
-    terms = np.unique((textkit.hash_words([t.encode() for t in identity]) >> np.uint64(32)).astype(np.uint32))
+    ((_, _, data, off),) = textkit.chunks(pa.array(list(identity)), 1 << 30)
+    term_features, term = features(data, off)
+    words = textkit.spans(data, off, textkit.NON_WORD)[2]  # one word a term, in their order
+    terms = np.unique(term_features[: len(words)])
     n, y = len(labels), labels.astype(np.float64)
     if not n or y.min() == y.max():
         share = float(y.mean()) if n else 0.0
@@ -94,20 +97,28 @@ def fit(labels: np.ndarray, bags: list[np.ndarray], identity=IDENTITY, seed: int
         at = np.searchsorted(best, bag)
         at[at == len(best)] = 0
         x[k, at[best[at] == bag]] = 1
+    # Each term with the beginnings that are features: a swap changes all of them.
+    at = np.searchsorted(best, term_features)
+    at[at == len(best)] = 0
+    ok = best[at] == term_features
+    parts = np.zeros((len(identity), len(best)))
+    parts[term[ok], at[ok]] = 1
+    own = np.searchsorted(best, term_features[np.searchsorted(words, np.arange(len(identity)))])
     # The counterfactuals: for each text the term that is in, or put in, and the one that replaces it (-1: none).
     rng = np.random.default_rng(seed)
-    spots = np.searchsorted(best, terms)
-    has = x[:, spots] > 0
-    given = np.where(has.any(1), spots[has.argmax(1)], spots[rng.integers(len(spots), size=n)])
-    other = np.where(rng.random(n) < 0.5, spots[rng.integers(len(spots), size=n)], -1)
+    has = x[:, own] > 0
+    given = np.where(has.any(1), has.argmax(1), rng.integers(len(identity), size=n))
+    other = np.where(rng.random(n) < 0.5, rng.integers(len(identity), size=n), -1)
+    swapped = other >= 0
     w, b, mw, vw, mb, vb = np.zeros(len(best)), 0.0, 0.0, 0.0, 0.0, 0.0
     for k in range(1, STEPS + 1):
         z = x @ w.astype(np.float32) + b
         g = (1 / (1 + np.exp(-z)) - y) / n
         grad = (g.astype(np.float32) @ x).astype(np.float64) + RIDGE * w
-        change = w[given] - np.where(other >= 0, w[other], 0)  # of the log-odds, when the one term replaces the other
-        np.add.at(grad, given, 2 * LAMBDA * change / n)
-        np.add.at(grad, other[other >= 0], -2 * LAMBDA * change[other >= 0] / n)
+        value = parts @ w
+        change = value[given] - np.where(swapped, value[other], 0)  # of the log-odds, when the one term replaces the other
+        coef = np.bincount(given, change, len(identity)) - np.bincount(other[swapped], change[swapped], len(identity))
+        grad += 2 * LAMBDA / n * (coef @ parts)
         gb = float(g.sum())
         mw, vw = 0.9 * mw + 0.1 * grad, 0.99 * vw + 0.01 * grad**2
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb**2
