@@ -42,7 +42,8 @@ RARE = 1 / 500
 DAMP = 0.25
 #: Buckets up to this size are compared by listed pairs, larger ones in blocks of so many strays and members.
 SMALL, STRAYS, MEMBERS = 32, 512, 2048
-#: Rows of the table of random numbers; shingles that share a row share its numbers, which can only add candidates.
+#: Rows of the tables of random numbers. ln c comes from another row than r and beta, so that two shingles share a sample
+#: only if they share both rows.
 TABLE = 1 << 15
 
 
@@ -111,7 +112,7 @@ def sample(h: np.ndarray, row: np.ndarray, weight: np.ndarray, seed: int = 9) ->
     r, lnc, beta = _random_table(seed)
     starts = np.flatnonzero(np.diff(row, prepend=-1))
     out = np.full((len(starts), BANDS * ROWS), np.inf, np.float32)
-    place = ((h >> np.uint64(20)) % np.uint64(TABLE)).astype(np.int64)
+    place, second = (((h >> np.uint64(k)) % np.uint64(TABLE)).astype(np.int64) for k in (20, 40))
     s = np.log(weight).astype(np.float32)[:, None]
     owner = np.cumsum(np.diff(row, prepend=-1) != 0) - 1
     for a in range(0, len(h), 4096):
@@ -123,7 +124,7 @@ def sample(h: np.ndarray, row: np.ndarray, weight: np.ndarray, seed: int = 9) ->
         x -= b
         x += 1
         x *= rr
-        np.subtract(lnc[p], x, out=x)
+        np.subtract(lnc[second[a : a + 4096]], x, out=x)
         own = owner[a : a + 4096]
         first = np.flatnonzero(np.diff(own, prepend=-1))
         out[own[first]] = np.minimum(out[own[first]], np.minimum.reduceat(x, first, axis=0))
