@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 #: The byte-level pre-tokenizer's pattern (fixed value); white space is Unicode's, without the separators \x1c-\x1f.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
-#: Fragments remembered by a worker: two generations of so many, about 40 MB together.
-REMEMBERED = 100_000
+#: Fragments remembered by a worker: two generations of so many, about 70 MB together.
+REMEMBERED = 180_000
 LONG = 48
 NEVER = 1 << 40
 #: Unicode's white space other than the space (fixed value).
