@@ -26,7 +26,7 @@ from . import textkit
 from .common import fold, table
 from .training import labelled_sample
 
-MOST = 8_000
+MOST = 5_000
 WORDS = 512
 #: Scores from here on are toxic.
 TOXIC = 0.7
