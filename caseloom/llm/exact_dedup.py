@@ -21,11 +21,13 @@ from .common import pack, settle, shared_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: State on disk with bounded memory; without preallocation, which would cost each of many small stores some MB of disk.
+#: Stores are closed when their task has committed, so none stays open in an executor for the work that follows.
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 #: Bits of the filter of hit digests that is broadcast: 2**22 bits are 0.5 MB, whatever the input.
 FILTER_BITS = 22
