@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,3 +59,12 @@ def gapless(df: DataFrame, part: list[str], order: list[str], out: str, buckets:
     shift = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
     local = df.withColumn("_i", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
     return local.join(shift, keys).withColumn(out, (F.col("_shift") + F.col("_i") - 1).cast("long")).drop("_b", "_i", "_shift")
+
+
+def give_back() -> None:
+    """Return freed memory to the system at the end of a Python task: the worker lives on idle beside its executor's JVM."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkit
-from .common import settle, shared_dir
+from .common import give_back, settle, shared_dir
 from .components import components
 from .exact_dedup import _maybe_hit
 
@@ -47,7 +47,7 @@ SMALL, STRAYS, MEMBERS = 32, 512, 2048
 TABLE = 1 << 15
 
 
-def weighted(column: pa.Array, idf: np.ndarray | None, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+def weighted(column: pa.Array, idf: np.ndarray | None, limit: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first row, end row, shingle, row, weight or count) of chunks of texts, ordered by row, then shingle."""
     for i, j, data, off in textkit.chunks(column, limit):
         h, row = textkit.shingles(*textkit.words(data, off), j - i, WIDTH)
@@ -74,6 +74,7 @@ def frequencies(docs: DataFrame) -> np.ndarray:
         if n:
             parts = total.astype(np.uint32).reshape(-1, block)
             yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary()), pa.array([n if k == 0 else 0 for k in range(len(parts))], pa.int64())], ["block", "counts", "docs"])
+        give_back()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -219,6 +220,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
                     for k, x in zip((rows + i).tolist(), band_hashes(samples).tolist()):
                         bands[k] = x
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "digest", "bands"])
+        give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     signed = settle(docs.select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"), "text").mapInArrow(sign, f"doc_id {kind}, digest binary, bands array<bigint>"), f"{work}/signed")
@@ -236,8 +238,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
 
     def verify(pairs: DataFrame, name: str) -> DataFrame:
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            _tables.clear()  # signing is over; they are made again if not
             for batch in batches:
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(similarities(batch.column(2), batch.column(3), idf.value), pa.float64())], ["a", "b", "s"])
+            give_back()
 
         found = pairs.join(bodies.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").join(bodies.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
         return settle(found.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a bigint, b bigint, s double"), f"{work}/{name}")
