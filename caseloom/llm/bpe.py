@@ -28,10 +28,12 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import give_back
+
 #: The byte-level pre-tokenizer's pattern (fixed value); white space is Unicode's, without the separators \x1c-\x1f.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
-#: Fragments remembered by a worker: two generations of so many, about 70 MB together.
-REMEMBERED = 180_000
+#: Fragments remembered by a worker: two generations of so many, about 45 MB together. Below 174,762 a table has 2**18 places.
+REMEMBERED = 120_000
 LONG = 48
 NEVER = 1 << 40
 #: Unicode's white space other than the space (fixed value).
@@ -46,36 +48,51 @@ def _byte_signs() -> dict[str, int]:
     return signs
 
 
+def compile_vocabulary(content: str) -> dict:
+    """What encoding and decoding need of a tokenizer file, as arrays: made once on the driver, about 2 MB for 50,257 tokens."""
+    spec = json.loads(content)
+    signs = _byte_signs()
+    vocab = spec["model"]["vocab"]
+    assert max(vocab.values()) < 1 << 16
+    raw = {i: bytes(signs[c] for c in t) for t, i in vocab.items()}
+    byte_id = [0] * 256
+    inside = np.zeros((256, 256), bool)
+    for i, b in raw.items():
+        if len(b) == 1:
+            byte_id[b[0]] = i
+        x = np.frombuffer(b, np.uint8)
+        inside[x[:-1], x[1:]] = True
+    rank: dict[int, int] = {}
+    for n, m in enumerate(spec["model"]["merges"]):
+        a, b = m if isinstance(m, list) else m.split(" ")
+        rank.setdefault(vocab[a] << 16 | vocab[b], n << 16 | vocab[a + b])
+    added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+    tokens = raw | {i: t.encode() for t, i in added.items()}
+    top = max(tokens) + 1
+    return {
+        "byte_id": byte_id,
+        "inside": inside.tobytes(),
+        "pairs": np.fromiter(rank.keys(), np.uint32, len(rank)),
+        "merged": np.fromiter(rank.values(), np.uint64, len(rank)),
+        "added": added,
+        "size": np.array([len(tokens.get(i, b"")) for i in range(top)]),
+        "bytes": b"".join(tokens.get(i, b"") for i in range(top)),
+    }
+
+
 class ByteBpe:
-    """An encoder and decoder for the content of a tokenizer file of byte-level BPE."""
-
-    def __init__(self, content: str):
-        spec = json.loads(content)
-        signs = _byte_signs()
-        raw = {t: bytes(signs[c] for c in t) for t in spec["model"]["vocab"]}
-        vocab = spec["model"]["vocab"]
-        self.byte_id = [0] * 256
-        for t, b in raw.items():
-            if len(b) == 1:
-                self.byte_id[b[0]] = vocab[t]
+    """An encoder and decoder for the content of a tokenizer file of byte-level BPE, or for what ``compile_vocabulary`` made of it."""
+
+    def __init__(self, content: str | dict):
+        vocabulary = compile_vocabulary(content) if isinstance(content, str) else content
+        self.byte_id, self.added = vocabulary["byte_id"], vocabulary["added"]
         #: (left << 16 | right) -> (rank << 16 | merged), so that the least value is the first merge.
-        self.rank: dict[int, int] = {}
-        assert max(vocab.values()) < 1 << 16
-        for n, m in enumerate(spec["model"]["merges"]):
-            a, b = m if isinstance(m, list) else m.split(" ")
-            self.rank.setdefault(vocab[a] << 16 | vocab[b], n << 16 | vocab[a + b])
-        self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        self.tokens: dict[int, bytes] = {vocab[t]: b for t, b in raw.items()} | {i: t.encode() for t, i in self.added.items()}
-        inside = np.zeros((256, 256), bool)
-        for b in raw.values():
-            x = np.frombuffer(b, np.uint8)
-            inside[x[:-1], x[1:]] = True
-        self.inside = inside
+        self.rank: dict[int, int] = dict(zip(vocabulary["pairs"].tolist(), vocabulary["merged"].tolist()))
         #: For each pair of bytes (first << 8 | second) whether it occurs inside a token.
-        self.inside_flat = inside.tobytes()
+        self.inside_flat = inside = vocabulary["inside"]
         # In front of a space the pattern parts whatever isn't white space; after white space the cut is certain
         # only where the pair never occurs inside a token. These white-space signs don't allow a cut:
-        self.unsure = [w for w in WHITE if inside[w.encode()[-1], 32]]
+        self.unsure = [w for w in WHITE if inside[w.encode()[-1] << 8 | 32]]
         self.words = re.compile(r" *[^ ]+| +")
         self.fragments = regex.compile(r"(?<=[^ " + "".join(map(regex.escape, self.unsure)) + r"])(?= )", regex.V1)
         self.pattern = regex.compile(PATTERN)
@@ -96,13 +113,9 @@ class ByteBpe:
                 return value
 
         self.memo = Memo()
-        top = max(self.tokens) + 1
-        sizes = np.zeros(top, np.int64)
-        for i, b in self.tokens.items():
-            sizes[i] = len(b)
-        self.size = sizes
-        self.place = np.cumsum(sizes) - sizes
-        self.bytes = np.frombuffer(b"".join(self.tokens.get(i, b"") for i in range(top)), np.uint8)
+        self.size = vocabulary["size"]
+        self.place = np.cumsum(self.size) - self.size
+        self.bytes = np.frombuffer(vocabulary["bytes"], np.uint8)
 
     def _merge(self, ids: list[int]) -> list[int]:
         if len(ids) > LONG:
@@ -189,18 +202,19 @@ _loaded: dict[str, ByteBpe] = {}
 def encode_documents(docs: DataFrame, vocabulary: str, keep_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of each row; with ``keep_ids`` also ids (binary) and decoded text.
 
-    ``vocabulary`` is the path of a tokenizer file on the driver; its content goes to the executors
-    with the tasks (1.6 MB for the file of 50,257 tokens), so they need no copy of the file.
+    ``vocabulary`` is the path of a tokenizer file on the driver; what is needed of it goes to the
+    executors with the tasks (2 MB for the file of 50,257 tokens), so they need no copy of the file.
     """
     with open(vocabulary, encoding="utf-8") as f:
-        content = docs.sparkSession.sparkContext.broadcast(f.read())
-    name = hashlib.sha256(content.value.encode()).hexdigest()
+        content = f.read()
+    name = hashlib.sha256(content.encode()).hexdigest()
+    compiled = docs.sparkSession.sparkContext.broadcast(compile_vocabulary(content))
     kind = docs.schema["doc_id"].dataType.simpleString()
     extra = "encoded binary, decoded string" if keep_ids else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _loaded:
-            _loaded[name] = ByteBpe(content.value)
+            _loaded[name] = ByteBpe(compiled.value)
         bpe = _loaded[name]
         for batch in batches:
             counts, hashes, back, ids, texts = [], [], [], [], []
@@ -219,6 +233,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, keep_ids: bool = False) -
                 columns += [pa.array(ids, pa.binary()), pa.array(texts, pa.string())]
                 names += ["encoded", "decoded"]
             yield pa.RecordBatch.from_arrays(columns, names)
+        give_back()
 
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (f", {extra}" if extra else "")
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
