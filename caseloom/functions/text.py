@@ -105,3 +105,59 @@ def bit_similarity(a: Column, b: Column) -> Column:
     """Share of equal bits of two strings of 0 and 1; 0 where lengths differ."""
     same = F.aggregate(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
     return F.when(F.length(a) != F.length(b), 0.0).when(F.length(a) == 0, 0.0).otherwise(same / F.length(a))
+
+
+def balanced_json(c: Column) -> Column:
+    """From the first opening brace to its balanced closing one, braces in strings counted too; else the text as it is."""
+    start = F.locate("{", c)
+    tail = F.substring(c, start, F.length(c))
+    parts = F.split(tail, r"\}")
+    closed = F.slice(parts, F.lit(1), F.size(parts) - 1)
+    opened = lambda p: F.length(p) - F.length(F.replace(p, F.lit("{"), F.lit("")))
+
+    def step(s: Column, p: Column) -> Column:
+        depth, read = s["depth"] + opened(p) - 1, s["read"] + F.length(p) + 1
+        return F.struct(depth.alias("depth"), read.alias("read"), F.when((s["end"] == 0) & (depth == 0), read).otherwise(s["end"]).alias("end"))
+
+    zero = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("read"), F.lit(0).alias("end"))
+    end = F.aggregate(closed, zero, step)["end"]
+    return F.when((start > 0) & (end > 0), F.substring(tail, F.lit(1), end)).otherwise(c)
+
+
+def rewrite_outcome(original: Column, corrected: Column) -> Column:
+    """Whether a proposed rewrite is an error, keeps the original or replaces it; one under half the length counts as partial."""
+    short = F.length(corrected) < F.length(F.coalesce(original, F.lit(""))) * 0.5
+    return F.when(corrected.isNull(), "error").when(F.lower(corrected).contains("no corrections needed"), "kept").when(short, "error").otherwise("rewritten")
+
+
+def accepted_rewrite(original: Column, corrected: Column) -> Column:
+    """The text after a rewrite: the proposal without its code fences where it is accepted, else the original."""
+    bare = strip(F.regexp_replace(strip(corrected), r"^```(?:markdown)?|```$", ""))
+    return F.when(rewrite_outcome(original, corrected) == "rewritten", bare).otherwise(original)
+
+
+def prompt_template(document_type: Column, has_redactions: Column) -> Column:
+    """Id of the prompt for a document: photographs first, then redactions, then the type; tables and forms add a suffix."""
+    base = F.when(F.coalesce(has_redactions, F.lit(False)), "redaction_aware").when(document_type.isin("identity_document", "legal_document"), document_type).otherwise("general")
+    suffix = F.when(document_type.isin("table", "form"), F.concat(F.lit("+"), document_type)).otherwise("")
+    return F.when(document_type == "photograph", "photograph").otherwise(F.concat(base, suffix))
+
+
+def block_kind(c: Column) -> Column:
+    """A block type without its enumeration's name."""
+    return F.when(c.contains("BlockTypes."), F.element_at(F.split(c, r"\."), -1)).otherwise(c)
+
+
+def block_prompt(text: Column, block_type: Column, instructions: dict[str, str], template: str = "%s\n\n%s") -> Column:
+    """The template filled with the block type's instruction, blank where it has none, and the text."""
+    known = F.create_map(*[F.lit(x) for pair in instructions.items() for x in pair]) if instructions else F.create_map().cast("map<string,string>")
+    return F.format_string(template, F.coalesce(F.try_element_at(known, block_kind(block_type)), F.lit("")), F.coalesce(text, F.lit("")))
+
+
+def mean_hash(pixels: Column, size: int | None = 32 * 32) -> Column:
+    """One bit per grey value, 1 where it is above their mean; an image that is null or of another size gives ''."""
+    n = F.size(pixels)
+    mean = F.aggregate(pixels, F.lit(0.0), lambda s, x: s + x) / n
+    bits = F.array_join(F.transform(pixels, lambda x: F.when(x > mean, "1").otherwise("0")), "")
+    fits = pixels.isNotNull() & (n > 0) if size is None else pixels.isNotNull() & (n == size)
+    return F.when(fits, bits).otherwise("")

@@ -73,3 +73,49 @@ def base_document(regions: DataFrame) -> DataFrame:
     """Per group the document with the fewest regions; of equals the first."""
     n = regions.groupBy("group", "doc_id").agg(F.count(F.lit(1)).alias("regions"))
     return n.groupBy("group").agg(F.min(F.struct("regions", "doc_id")).alias("m")).select("group", F.col("m.doc_id").alias("doc_id"), F.col("m.regions").alias("regions"))
+
+
+#: How a merged text introduces what other copies add.
+BANNER = "\n\n" + "=" * 80 + "\nSUPPLEMENTAL CONTENT FROM OTHER COPIES\n" + "=" * 80 + "\nThe following content from other copies fills redactions in the base document.\n\n"
+
+
+def merge_sections(docs: DataFrame, regions: DataFrame) -> DataFrame:
+    """group, doc_id, is_base, fillins, text of each document of a group, for its merged text.
+
+    ``docs`` has group, doc_id, text; ``regions`` has group, doc_id, page and a box. The base has the fewest
+    regions, none included; of equals the least doc_id. ``fillins`` counts the base's regions without an
+    overlapping one on the same page of the other document, found as all regions less the matched ones, so
+    that base regions aren't multiplied by documents. Documents without text fill nothing.
+    """
+    box = lambda t: tuple(F.col(f"{t}.{c}") for c in ("x0", "y0", "x1", "y1"))
+    counts = regions.groupBy("group", "doc_id").agg(F.count(F.lit(1)).alias("regions"))
+    sized = docs.select("group", "doc_id", "text").join(counts, ["group", "doc_id"], "left").withColumn("regions", F.coalesce("regions", F.lit(0)))
+    base = sized.groupBy("group").agg(F.min(F.struct("regions", "doc_id")).alias("m")).select("group", F.col("m.doc_id").alias("base_id"), F.col("m.regions").alias("base_regions"))
+    placed = regions.join(base, "group")
+    own, others = placed.where("doc_id = base_id").withColumn("region", F.struct("page", "x0", "y0", "x1", "y1")), placed.where("doc_id != base_id")
+    # Equal regions of a base are matched alike: they are counted once here and weighed by their number.
+    own = own.groupBy("group", "page", "x0", "y0", "x1", "y1", "region").agg(F.count(F.lit(1)).alias("times"))
+    met = own.alias("b").join(others.alias("o"), (F.col("b.group") == F.col("o.group")) & (F.col("b.page") == F.col("o.page")) & overlaps(box("b"), box("o")))
+    met = met.select("b.group", "o.doc_id", "b.region", "b.times").distinct().groupBy("group", "doc_id").agg(F.sum("times").alias("met"))
+    found = sized.join(base, "group").join(met, ["group", "doc_id"], "left")
+    is_base, text = F.col("doc_id") == F.col("base_id"), F.coalesce("text", F.lit(""))
+    fillins = F.when(is_base | (text == ""), 0).otherwise(F.col("base_regions") - F.coalesce("met", F.lit(0))).cast("long")
+    return found.select("group", "doc_id", is_base.alias("is_base"), fillins.alias("fillins"), text.alias("text"))
+
+
+def merged_texts(sections: DataFrame, name: str = "doc_id") -> DataFrame:
+    """group, base_id, merged_text, total_fillins: the base's text, then each copy's whole text that fills something, by doc_id.
+
+    A merged text is one value, so it has a value's bound of 2 GB; for larger groups use the sections themselves.
+    """
+    head = F.format_string("\n--- From %s (%d fillins) ---\n\n", F.col(name).cast("string"), F.col("fillins"))
+    added = F.when(F.col("fillins") > 0, F.struct("doc_id", F.concat(head, "text").alias("part")))
+    parts = F.transform(F.array_sort(F.collect_list(added)), lambda x: x["part"])
+    g = sections.groupBy("group").agg(F.max(F.when(F.col("is_base"), F.struct("doc_id", "text"))).alias("b"), parts.alias("parts"), F.sum("fillins").alias("total_fillins"))
+    rest = F.when(F.size("parts") > 0, F.concat(F.lit(BANNER), F.array_join("parts", ""))).otherwise("")
+    return g.select("group", F.col("b.doc_id").alias("base_id"), F.concat("b.text", rest).alias("merged_text"), "total_fillins")
+
+
+def merge_all(docs: DataFrame, regions: DataFrame) -> DataFrame:
+    """The merged text of every group."""
+    return merged_texts(merge_sections(docs, regions))

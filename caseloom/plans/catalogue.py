@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import providers, text as T
-from ..operators import batch, duplicates, graph, patterns, quality, search
+from ..operators import batch, duplicates, graph, patterns, quality, schema, search
 from ..streaming import sessions as streaming
 
 QUERIES: dict = {}
@@ -429,6 +429,64 @@ def set_operations(spark, d):
     return c.select("c_custkey").intersect(_t(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))).exceptAll(c.where("c_acctbal < 0").select("c_custkey"))
 
 
+@query("SELECT event_id, CASE WHEN ends = 0 THEN s ELSE substr(s, strpos(s, '{'), ends) END AS found FROM (SELECT event_id, s, strpos(substr(s, strpos(s, '{')), '}}') + 1 AS ends FROM (SELECT event_id, 'Answer: {\"a\": ' || props || '} and }' AS s FROM events))")
+def json_extract(spark, d):
+    """The first balanced object in text around it."""
+    wrapped = F.concat(F.lit('Answer: {"a": '), "props", F.lit("} and }"))
+    return _t(spark, d, "events").select("event_id", T.balanced_json(wrapped).alias("found"))
+
+
+_REWRITE = "SELECT doc_id, text, CASE WHEN doc_id % 4 = 0 THEN NULL WHEN doc_id % 4 = 1 THEN 'No corrections needed.' WHEN doc_id % 4 = 2 THEN substr(text, 1, 10) ELSE '```markdown' || chr(10) || upper(text) || chr(10) || '```' END AS c FROM documents"
+
+
+@query(f"""WITH r AS ({_REWRITE}), o AS (SELECT *, CASE WHEN c IS NULL THEN 'error' WHEN contains(lower(c), 'no corrections needed') THEN 'kept' WHEN length(c) < length(text) * 0.5 THEN 'error' ELSE 'rewritten' END AS outcome FROM r)
+SELECT outcome, count(*) AS n FROM o GROUP BY outcome""")
+def rewrite_acceptance(spark, d):
+    k, t = F.col("doc_id") % 4, F.col("text")
+    proposed = F.when(k == 0, None).when(k == 1, "No corrections needed.").when(k == 2, F.substring(t, 1, 10)).otherwise(F.concat(F.lit("```markdown\n"), F.upper(t), F.lit("\n```")))
+    return _t(spark, d, "documents").groupBy(T.rewrite_outcome(t, proposed).alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT doc_id, CASE WHEN k = 'photograph' THEN k ELSE CASE WHEN doc_id % 2 = 0 THEN 'redaction_aware' WHEN k IN ('identity_document', 'legal_document') THEN k ELSE 'general' END || CASE WHEN k IN ('table', 'form') THEN '+' || k ELSE '' END END AS template
+FROM (SELECT doc_id, ['photograph', 'identity_document', 'legal_document', 'table', 'form', 'general'][doc_id % 6 + 1] AS k FROM documents)""")
+def prompt_routing(spark, d):
+    kinds = F.array(*[F.lit(x) for x in ("photograph", "identity_document", "legal_document", "table", "form", "general")])
+    kind = F.get(kinds, (F.col("doc_id") % 6).cast("int"))
+    return _t(spark, d, "documents").select("doc_id", T.prompt_template(kind, F.col("doc_id") % 2 == 0).alias("template"))
+
+
+@query("SELECT vec_id, array_to_string(list_transform(embedding, lambda x: CASE WHEN x::DOUBLE > m THEN '1' ELSE '0' END), '') AS bits FROM (SELECT vec_id, embedding, list_reduce(list_transform(embedding, lambda x: x::DOUBLE), lambda a, b: a + b) / len(embedding) AS m FROM embeddings)")
+def mean_hash(spark, d):
+    """The perceptual hash of vectors, which stand for the grey values of images."""
+    v = F.transform("embedding", lambda x: x.cast("double"))
+    return _t(spark, d, "embeddings").select("vec_id", T.mean_hash(v, None).alias("bits"))
+
+
+_COPIES = """WITH docs AS (SELECT o_custkey AS g, o_orderkey AS doc_id, o_orderpriority AS text FROM orders), regions AS (SELECT o_custkey AS g, o_orderkey AS doc_id, l_linenumber AS page, l_quantity AS x0, l_discount * 100 AS y0, l_quantity + 10 AS x1, l_discount * 100 + 5 AS y1 FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+sized AS (SELECT g, doc_id, text, (SELECT count(*) FROM regions r WHERE r.doc_id = docs.doc_id) AS regions FROM docs), base AS (SELECT * FROM sized QUALIFY row_number() OVER (PARTITION BY g ORDER BY regions, doc_id) = 1),
+met AS (SELECT o.g, o.doc_id, count(DISTINCT (b.page, b.x0, b.y0)) AS met FROM regions b JOIN base ON base.doc_id = b.doc_id JOIN regions o ON o.g = b.g AND o.page = b.page AND o.doc_id <> b.doc_id WHERE greatest(0, least(b.x1, o.x1) - greatest(b.x0, o.x0)) * greatest(0, least(b.y1, o.y1) - greatest(b.y0, o.y0)) > 0.3 * least((b.x1 - b.x0) * (b.y1 - b.y0), (o.x1 - o.x0) * (o.y1 - o.y0)) GROUP BY ALL),
+s AS (SELECT s.g, s.doc_id, s.text, s.doc_id = b.doc_id AS is_base, CASE WHEN s.doc_id = b.doc_id THEN 0 ELSE b.regions - coalesce(met, 0) END AS fillins FROM sized s JOIN base b USING (g) LEFT JOIN met ON met.doc_id = s.doc_id),
+m AS (SELECT g, max(CASE WHEN is_base THEN doc_id END) AS base_id, max(CASE WHEN is_base THEN text END) AS head, string_agg(CASE WHEN fillins > 0 THEN chr(10) || '--- From ' || doc_id || ' (' || fillins || ' fillins) ---' || chr(10) || chr(10) || text END, '' ORDER BY doc_id) AS tail, sum(fillins) AS total FROM s GROUP BY g)
+"""
+
+
+@query(_COPIES + """SELECT g AS "group", base_id, md5(head || CASE WHEN tail IS NULL THEN '' ELSE chr(10) || chr(10) || repeat('=', 80) || chr(10) || 'SUPPLEMENTAL CONTENT FROM OTHER COPIES' || chr(10) || repeat('=', 80) || chr(10) || 'The following content from other copies fills redactions in the base document.' || chr(10) || chr(10) || tail END) AS merged_md5, total::BIGINT AS total_fillins FROM m""")
+def merged_copies(spark, d):
+    """A customer's orders stand for copies, their items for regions."""
+    o = _t(spark, d, "orders")
+    li = _t(spark, d, "lineitem").join(o.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    x, y = F.col("l_quantity"), F.col("l_discount") * 100
+    regions = li.select(F.col("o_custkey").alias("group"), F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("page"), x.alias("x0"), y.alias("y0"), (x + 10).alias("x1"), (y + 5).alias("y1"))
+    merged = duplicates.merge_all(o.select(F.col("o_custkey").alias("group"), F.col("o_orderkey").alias("doc_id"), F.col("o_orderpriority").alias("text")), regions)
+    return merged.select("group", "base_id", F.md5("merged_text").alias("merged_md5"), "total_fillins")
+
+
+@query("SELECT 18 AS keys, 6 AS vectors, 4 AS fulltexts, true AS ok")
+def schema_verify(spark, d):
+    want = schema.wanted(spark)
+    return schema.verify(schema.create(want.where("kind = 'key'"), want)).select("keys", "vectors", "fulltexts", "ok")
+
+
 @query()
 def event_sessions_stream(spark, d):
     return _streamed(spark, streaming.sessions(streaming.file_stream(spark, f"{d}/events.parquet")))
