@@ -462,9 +462,9 @@ def mean_hash(spark, d):
     return _t(spark, d, "embeddings").select("vec_id", T.mean_hash(v, None).alias("bits"))
 
 
-_COPIES = """WITH docs AS (SELECT o_custkey AS g, o_orderkey AS doc_id, o_orderpriority AS text FROM orders), regions AS (SELECT o_custkey AS g, o_orderkey AS doc_id, l_linenumber AS page, l_quantity AS x0, l_discount * 100 AS y0, l_quantity + 10 AS x1, l_discount * 100 + 5 AS y1 FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+_COPIES = """WITH docs AS (SELECT o_custkey AS g, o_orderkey AS doc_id, o_orderpriority AS text FROM orders), regions AS (SELECT o_custkey AS g, o_orderkey AS doc_id, l_linenumber AS page, l_quantity AS x0, l_discount * 100 AS y0, l_quantity + 10 AS x1, l_discount * 100 + 5 AS y1, row_number() OVER () AS id FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 sized AS (SELECT g, doc_id, text, (SELECT count(*) FROM regions r WHERE r.doc_id = docs.doc_id) AS regions FROM docs), base AS (SELECT * FROM sized QUALIFY row_number() OVER (PARTITION BY g ORDER BY regions, doc_id) = 1),
-met AS (SELECT o.g, o.doc_id, count(DISTINCT (b.page, b.x0, b.y0)) AS met FROM regions b JOIN base ON base.doc_id = b.doc_id JOIN regions o ON o.g = b.g AND o.page = b.page AND o.doc_id <> b.doc_id WHERE greatest(0, least(b.x1, o.x1) - greatest(b.x0, o.x0)) * greatest(0, least(b.y1, o.y1) - greatest(b.y0, o.y0)) > 0.3 * least((b.x1 - b.x0) * (b.y1 - b.y0), (o.x1 - o.x0) * (o.y1 - o.y0)) GROUP BY ALL),
+met AS (SELECT o.g, o.doc_id, count(DISTINCT b.id) AS met FROM regions b JOIN base ON base.doc_id = b.doc_id JOIN regions o ON o.g = b.g AND o.page = b.page AND o.doc_id <> b.doc_id WHERE greatest(0, least(b.x1, o.x1) - greatest(b.x0, o.x0)) * greatest(0, least(b.y1, o.y1) - greatest(b.y0, o.y0)) > 0.3 * least((b.x1 - b.x0) * (b.y1 - b.y0), (o.x1 - o.x0) * (o.y1 - o.y0)) GROUP BY ALL),
 s AS (SELECT s.g, s.doc_id, s.text, s.doc_id = b.doc_id AS is_base, CASE WHEN s.doc_id = b.doc_id THEN 0 ELSE b.regions - coalesce(met, 0) END AS fillins FROM sized s JOIN base b USING (g) LEFT JOIN met ON met.doc_id = s.doc_id),
 m AS (SELECT g, max(CASE WHEN is_base THEN doc_id END) AS base_id, max(CASE WHEN is_base THEN text END) AS head, string_agg(CASE WHEN fillins > 0 THEN chr(10) || '--- From ' || doc_id || ' (' || fillins || ' fillins) ---' || chr(10) || chr(10) || text END, '' ORDER BY doc_id) AS tail, sum(fillins) AS total FROM s GROUP BY g)
 """
