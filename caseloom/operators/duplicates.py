@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +55,50 @@ def greedy_groups(prints: DataFrame, pairs: DataFrame, block: tuple[str, ...] =
     return pairs.groupBy(*block).applyInPandas(take, "seed bigint, doc_id bigint")
 
 
+def similar_groups(prints: DataFrame, ratio: float = 0.9, block: tuple[str, ...] = ("page_count",)) -> DataFrame:
+    """(seed, doc_id): what ``greedy_groups`` gives for ``similar_pairs``, without listing the pairs.
+
+    Documents of one block with equal size and text_hash are similar to the same others, so classes of them
+    are taken whole. A hash that has one size only says no more than the size. So a class is a size, or a
+    size with a hash that has several; a block's classes, not its documents, are one task's group.
+    """
+    keys = [*block, "_size", "_hash"]
+    known = prints.where(F.col("doc_id").isNotNull()).dropna(subset=list(block))
+    docs = known.select("doc_id", *block, F.greatest(F.coalesce("size", F.lit(0)), F.lit(0)).cast("long").alias("_size"), F.coalesce("text_hash", F.lit("")).alias("_hash"))
+    # Without a size there is the hash only, and without either nothing to compare.
+    docs = docs.where("_size > 0 OR _hash != ''")
+    kinds = docs.groupBy(*keys).agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    spread = kinds.where("_hash != ''").groupBy(*block, "_hash").agg((F.count(F.lit(1)) > 1).alias("spread"))
+    kinds = kinds.join(spread, [*block, "_hash"], "left")
+    kinds = kinds.withColumn("link", F.when((F.col("_size") == 0) | F.col("spread"), F.col("_hash")).otherwise(""))
+    classes = kinds.groupBy(*block, "_size", "link").agg(F.min("first").alias("first"), F.sum("n").alias("n"))
+
+    def take(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("first", ignore_index=True)
+        size, link, n = pdf["_size"].to_numpy("float64"), pdf["link"].to_numpy(), pdf["n"].to_numpy()
+        linked: dict[str, list[int]] = {}
+        for i, x in enumerate(link):
+            if x:
+                linked.setdefault(x, []).append(i)
+        seed = np.full(len(pdf), -1)
+        for i in range(len(pdf)):
+            if seed[i] < 0:
+                # A seed with a size clears its whole band, so few seeds scan the block's sizes.
+                near = (np.minimum(size, size[i]) / np.maximum(size, size[i]) > ratio) & (seed < 0) if size[i] > 0 else np.zeros(len(pdf), bool)
+                near[[k for k in linked.get(link[i], []) if seed[k] < 0]] = True
+                near[i] = True
+                seed[near] = i
+        total = np.bincount(seed, n, len(pdf))
+        pdf["seed"] = pdf["first"].to_numpy()[seed]
+        return pdf[total[seed] > 1][[*block, "_size", "link", "seed"]]
+
+    kind = prints.schema["doc_id"].dataType.simpleString()
+    schema = ", ".join([*(f"`{c}` {prints.schema[c].dataType.simpleString()}" for c in block), "_size bigint", "link string", f"seed {kind}"])
+    seeds = classes.groupBy(*block).applyInPandas(take, schema)
+    placed = kinds.select(*keys, "link").join(seeds, [*block, "_size", "link"]).select(*keys, "seed")
+    return docs.join(placed, keys).select("seed", "doc_id")
+
+
 def overlaps(a: tuple[Column, ...], b: tuple[Column, ...], threshold: float = 0.3) -> Column:
     """Boxes (x0, y0, x1, y1) that share more than the threshold of the smaller one; an empty box overlaps nothing."""
     w = F.greatest(F.lit(0), F.least(a[2], b[2]) - F.greatest(a[0], b[0]))

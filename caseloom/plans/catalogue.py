@@ -146,8 +146,8 @@ def near_dup_pairs(spark, d):
 
 @query()
 def near_dup_groups(spark, d):
-    prints = _prints(spark, d)
-    return duplicates.greedy_groups(prints, duplicates.similar_pairs(prints, block=_BLOCK), block=_BLOCK)
+    """By the whole rule: only page counts must be equal, not language and source as near_dup_pairs' SQL has it."""
+    return duplicates.similar_groups(_prints(spark, d))
 
 
 _BOX = """WITH r AS (SELECT (l_orderkey // 2)::BIGINT AS grp, l_orderkey AS doc_id, l_linenumber AS page, (l_partkey % 60)::BIGINT AS x0, (l_suppkey % 60)::BIGINT AS y0, (l_partkey % 60 + l_quantity)::BIGINT AS x1, (l_suppkey % 60 + l_quantity)::BIGINT AS y1 FROM lineitem)
