@@ -7,13 +7,13 @@ class, then, inside a head class, the word by a second softmax; inside a tail cl
 add-one share of the class's counts, with one more share for words never seen, so probabilities add
 up to one. Weights start as the unigram model. Training is truncated backpropagation over windows of
 WINDOW tokens, the state carried from window to window and reset at each text; trainers work on parts
-of the sample and their weights are averaged after each round. Scoring carries the state too, so a
-text's score is the log-likelihood of the whole text.
+of about PER_TRAINER tokens and their weights are averaged after each turn. Scoring carries the state
+too, so a text's score is the log-likelihood of the whole text.
 
-Scale. Word counts come from all training texts by one aggregation. The model learns from SHARE of the
-training tokens, at least LEAST where there are so many, by as many trainers as that takes, up to
-TRAINERS; so what is learned from grows with the input. Counts of frequent words, CACHED at most, are
-broadcast; those of the others are joined. Words are identified by 64-bit hashes.
+Scale. Word counts come from all training texts by one aggregation. The model learns from all training
+tokens, ROUNDS times, by TRAINERS trainers at most; where these have more parts than one each, they take
+them in turns, so a task's part stays bounded and turns grow with the input. Counts of frequent words,
+CACHED at most, are broadcast; those of the others are joined. Words are identified by 64-bit hashes.
 
 Defined results: null text counts as empty (one token, the end); without training texts every base
 score is 0; equal rows each come back; an empty table gives an empty result.
@@ -36,7 +36,7 @@ from .common import fold, settle, shared_dir, table
 
 HEAD, TAILS, CLASSES, UNITS = 2048, 32, 32, 32
 CACHED = 400_000
-SHARE, LEAST, PER_TRAINER, TRAINERS = 0.03, 400_000, 400_000, 64
+PER_TRAINER, TRAINERS = 400_000, 64
 WINDOW, STREAMS, ROUNDS, RATE = 32, 32, 2, 0.1
 SLOTS = 256
 #: Bytes of text scored at a time.
@@ -308,37 +308,47 @@ def learn(spark: SparkSession, docs: DataFrame, work: str) -> tuple[Vocabulary,
     if not v.total:
         return v, p, counts
     shared = spark.sparkContext.broadcast(v)
-    want = max(SHARE * v.total, min(v.total, LEAST))
-    part = min(1.0, want / v.total)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole, 1, SLICE)):
             out: list[bytes] = []
-            for i, j, h, tail, row in tokens(batch.column(0)):
+            for i, j, h, tail, row in tokens(batch.column(1)):
                 flat, ends = _flat(shared.value.ids(h, tail), row, j - i)
                 out += [x.astype(np.uint16).tobytes() for x in np.split(flat, ends[:-1])]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["part", "ids"])
+
+    trainers = int(max(1, min(TRAINERS, v.total // PER_TRAINER)))
+    turns = int(max(1, v.total // (trainers * PER_TRAINER)))
+    # Parts by row, not by text: the copies of a text are dealt out too.
+    parts = docs.where("train").select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(trainers * turns)).cast("int").alias("part"), "text")
+    numbered = parts.mapInArrow(number, "part int, ids binary").select("ids", (F.col("part") % trainers).alias("trainer"), F.floor(F.col("part") / trainers).cast("int").alias("turn"))
+    numbered.repartition("turn", "trainer").write.mode("overwrite").partitionBy("turn").parquet(f"{work}/sample")
+    sample = spark.read.schema(numbered.schema).parquet(f"{work}/sample")
 
-    trainers = int(max(1, min(TRAINERS, want // PER_TRAINER)))
-    chosen = docs.where(F.col("train") & (F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000)) < int(part * 1_000_000)))
-    sample = settle(chosen.select("text").mapInArrow(number, "ids binary").withColumn("trainer", F.pmod(F.xxhash64("ids"), F.lit(trainers)).cast("int")), f"{work}/sample")
-    def trainer(now, k: int):
+    def trainer(now, k: int, seed: int):
         def work_on(pdf: pd.DataFrame) -> pd.DataFrame:
             texts = [np.frombuffer(x, np.uint16) for x in sorted(pdf["ids"])]
-            texts = [texts[i] for i in np.random.default_rng(k).permutation(len(texts))]
+            texts = [texts[i] for i in np.random.default_rng(seed).permutation(len(texts))]
             new = train(now.value, shared.value, texts, RATE / (1 + k))
-            return pd.DataFrame({"n": [sum(map(len, texts))], "weights": [np.concatenate([x.ravel() for x in new.values()]).tobytes()]})
+            return pd.DataFrame({"trainer": [int(pdf["trainer"].iloc[0])], "n": [sum(map(len, texts))], "weights": [np.concatenate([x.ravel() for x in new.values()]).tobytes()]})
 
         return work_on
 
-    for k in range(ROUNDS):
-        # Each trainer's part is one group of the sample, TRAINERS at most; their weights, 1 MB each, are averaged.
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(x, F32).astype(np.float64) * n for x, n in zip(pdf["weights"], pdf["n"]))
+        return pd.DataFrame({"n": [int(pdf["n"].sum())], "total": [total.tobytes()]})
+
+    for k, turn in ((k, turn) for k in range(ROUNDS) for turn in range(turns)):
+        # Each trainer's part is one group of the turn, TRAINERS at most; their weights, 1 MB each, are averaged
+        # by way of sums of eight trainers, so that the driver gets an eighth.
         now = spark.sparkContext.broadcast(p)
-        grouped = sample.groupBy("trainer").applyInPandas(trainer(now, k), "n bigint, weights binary").collect()
+        trained = sample.where(F.col("turn") == turn).groupBy("trainer").applyInPandas(trainer(now, k, k * turns + turn), "trainer int, n bigint, weights binary")
+        grouped = trained.groupBy(F.floor(F.col("trainer") / 8)).applyInPandas(add, "n bigint, total binary").collect()
+        now.unpersist()
         weight = float(sum(r["n"] for r in grouped))
         if not weight:
-            break
-        mean = sum(np.frombuffer(r["weights"], F32).astype(np.float64) * (r["n"] / weight) for r in grouped)
+            continue
+        mean = sum(np.frombuffer(r["total"]) for r in grouped) / weight
         cut = np.cumsum([x.size for x in p.values()])
         p = {name: x.reshape(p[name].shape).astype(F32) for name, x in zip(p, np.split(mean, cut[:-1]))}
     return v, p, counts
