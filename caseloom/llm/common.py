@@ -5,11 +5,16 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Work folders of this process, in the order in which they were asked for.
+_made: list[str] = []
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -18,14 +23,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder that the driver and all executors can reach.
 
-    It lies under ``spark.checkpoint.dir``. Only where that is unset (local tests) is a local
-    temporary folder taken, and then recorded in the session so that later calls agree.
+    It lies under ``spark.checkpoint.dir``. Only where that is unset and the master is local (tests) is a
+    local temporary folder taken, and then recorded in the session so that later calls agree; on a
+    cluster without that setting a ValueError is raised, as executors would write to their own disks.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="caseloom-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/caseloom/{uuid.uuid4().hex}"
+    made = f"{base.rstrip('/')}/caseloom/{uuid.uuid4().hex}"
+    _made.append(made)
+    return made
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``, in whatever store it is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+@contextmanager
+def sweep(spark: SparkSession) -> Iterator[None]:
+    """Delete the work folders that were asked for inside, once all that was made from them has been written elsewhere."""
+    before = len(_made)
+    yield
+    for path in _made[before:]:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    del _made[before:]
 
 
 def settle(df: DataFrame, path: str) -> DataFrame:

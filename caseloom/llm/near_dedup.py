@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from . import textkit
 from .common import give_back, settle, shared_dir
 from .components import components
-from .exact_dedup import _maybe_hit
+from .exact_dedup import maybe_among
 
 WIDTH, THRESHOLD = 5, 0.8
 BANDS, ROWS = 16, 4
@@ -248,7 +248,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
 
     # Texts of candidates only, one row each: a bitmap of fixed size keeps most others from the shuffle.
     wanted = texts.join(members.select("id").distinct(), "id", "left_semi").select("id", F.col("digest").alias("_digest"))
-    hit = _maybe_hit(docs.withColumn("digest", F.unhex(F.sha2("text", 256))), wanted.select(F.col("_digest").alias("digest")))
+    hit = maybe_among(docs.withColumn("digest", F.unhex(F.sha2("text", 256))), wanted.select(F.col("_digest").alias("digest")), "digest")
     one = hit.groupBy("digest").agg(F.max("text").alias("text"))
     bodies = settle(one.join(wanted, F.col("digest") == F.col("_digest")).select("id", "text"), f"{work}/bodies")
 
