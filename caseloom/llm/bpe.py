@@ -9,7 +9,8 @@ Inside a fragment the pattern runs, then all forced cuts, then the merges by ran
 Results equal the tokenizers library's for the same file (add_special_tokens=False); added tokens in a
 text are taken as such, as there. Defined results: null text counts as empty: no tokens, empty
 decoding; texts of any length are encoded whole, with a heap for fragments of many symbols; equal
-rows each come back; an empty table gives an empty result; other columns are ignored.
+rows each come back; an empty table gives an empty result; other columns are ignored; a vocabulary with
+ids of 65,536 or more raises ValueError.
 """
 
 from __future__ import annotations
@@ -53,7 +54,8 @@ def compile_vocabulary(content: str) -> dict:
     spec = json.loads(content)
     signs = _byte_signs()
     vocab = spec["model"]["vocab"]
-    assert max(vocab.values()) < 1 << 16
+    if max(vocab.values()) >= 1 << 16:
+        raise ValueError("a vocabulary may have 65,536 ids at most: they are kept as 16-bit integers")
     raw = {i: bytes(signs[c] for c in t) for t, i in vocab.items()}
     byte_id = [0] * 256
     inside = np.zeros((256, 256), bool)

@@ -8,7 +8,9 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,6 +91,16 @@ def gapless(df: DataFrame, part: list[str], order: list[str], out: str, buckets:
     return local.join(shift, keys).withColumn(out, (F.col("_shift") + F.col("_i") - 1).cast("long")).drop("_b", "_i", "_shift")
 
 
+def slices(batch: pa.RecordBatch, text: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``size`` bytes of text in column ``text``, one row at least, so that a worker's arrays stay bounded."""
+    total = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + size, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def give_back() -> None:
     """Return freed memory to the system at the end of a Python task: the worker lives on idle beside its executor's JVM."""
     pa.default_memory_pool().release_unused()

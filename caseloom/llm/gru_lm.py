@@ -26,13 +26,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkit
-from .common import fold, settle, shared_dir, table
+from .common import fold, settle, shared_dir, slices, table
 
 HEAD, TAILS, CLASSES, UNITS = 2048, 32, 32, 32
 CACHED = 400_000
@@ -310,7 +309,7 @@ def learn(spark: SparkSession, docs: DataFrame, work: str) -> tuple[Vocabulary,
     shared = spark.sparkContext.broadcast(v)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in _slices(whole, 1, SLICE)):
+        for batch in (part for whole in batches for part in slices(whole, 1, SLICE)):
             out: list[bytes] = []
             for i, j, h, tail, row in tokens(batch.column(1)):
                 flat, ends = _flat(shared.value.ids(h, tail), row, j - i)
@@ -354,16 +353,6 @@ def learn(spark: SparkSession, docs: DataFrame, work: str) -> tuple[Vocabulary,
     return v, p, counts
 
 
-def _slices(batch: pa.RecordBatch, text: int, size: int) -> Iterator[pa.RecordBatch]:
-    """Runs of rows with about ``size`` bytes of text, so that a worker's arrays stay bounded."""
-    total = np.cumsum(pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False))
-    at = 0
-    while at < batch.num_rows:
-        end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + size, "right")))
-        yield batch.slice(at, end - at)
-        at = end
-
-
 def score(spark: SparkSession, docs: DataFrame, work: str | None = None, mod: int = 7, held_out: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of ``docs``."""
     work = work or shared_dir(spark)
@@ -376,7 +365,7 @@ def score(spark: SparkSession, docs: DataFrame, work: str | None = None, mod: in
         v, p = shared.value
         known, count = v.cached
         serial = TaskContext.get().partitionId() << 40
-        for batch in (part for whole in batches for part in _slices(whole, 2, SLICE)):
+        for batch in (part for whole in batches for part in slices(whole, 2, SLICE)):
             parts = [(h, tail, row + i) for i, _, h, tail, row in tokens(batch.column(2))]
             h, tail, row = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
             n = batch.num_rows

@@ -1,22 +1,22 @@
 """Near-duplicate detection: improved consistent weighted sampling over TF-IDF shingles, banded and verified.
 
 Method. A text is a weighted set of five-word shingles (A-Z lower-cased, words parted by white space;
-a text of one to four words is one shingle). A shingle's weight is (1 + ln tf) * idf. Document
-frequencies are counted over all documents in 2**20 hash buckets; idf is 1.25 for a bucket in at most
-1/500 of the documents and falls with the logarithm of the frequency to 1 for one in all of them. The
-range is kept narrow on purpose: a large group of near copies must not be parted by the rarity of its
-own edits. Improved consistent weighted sampling (Ioffe 2010) gives BANDS x ROWS samples, each a
+a text of one to four words is one shingle). A shingle's weight is its TF-IDF, (1 + ln tf) * idf with the
+smoothed idf 1 + ln((1 + N) / (1 + df)): N is the number of all documents, df that of the documents with
+the shingle, counted in 2**20 hash buckets (a bucket's count is at least its shingles' df). Improved
+consistent weighted sampling (Ioffe 2010) gives BANDS x ROWS samples, each a
 (shingle, t) of least ln a; texts that agree in all samples of a band are candidates, and candidates
 are verified by their exact weighted Jaccard similarity.
 
 Every pair of candidates is compared or lies in one component already: each band bucket is first
 compared with its leader (the least id); then the strays, which aren't in the bucket's largest
 component, are compared with all the rest, as listed pairs in small buckets and in blocks of bounded
-size, by matrix products, in large ones. So no large bucket is enumerated as pairs and none is capped. With 16 bands of 4 a pair of similarity 0.8 is missed with
-probability 0.0002.
+numbers and bytes, by matrix products, in large ones. So no large bucket is enumerated as pairs and none
+is capped. With 16 bands of 4 a pair of similarity 0.8 is missed with probability 0.0002.
 
 Defined results: rows with equal texts share a group, empty ones too; null text counts as empty; a
-text without words is near to nothing else; equal rows each come back; a text whose rows all lack a
+text without words is near to nothing else; texts of any length are taken whole; a pair whose similarity
+equals the threshold is linked; equal rows each come back; a text whose rows all lack a
 doc_id has an id above 2**62 made from it, which is never the least of others; an empty table gives an empty result.
 """
 
@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,10 +39,10 @@ from .exact_dedup import maybe_among
 WIDTH, THRESHOLD = 5, 0.8
 BANDS, ROWS = 16, 4
 SLOTS = 1 << 20
-RARE = 1 / 500
-DAMP = 0.25
 #: Buckets up to this size are compared by listed pairs, larger ones in blocks of so many strays and members.
 SMALL, STRAYS, MEMBERS = 32, 512, 2048
+#: Bytes of text of a block's strays, about, and a quarter of those of its members.
+BLOCK_BYTES = 4_000_000
 #: Rows of the tables of random numbers. ln c comes from another row than r and beta, so that two shingles share a sample
 #: only if they share both rows.
 TABLE = 1 << 15
@@ -92,8 +93,7 @@ def frequencies(docs: DataFrame) -> np.ndarray:
     df, n = np.zeros(SLOTS, np.float64), max(1, sum(r["docs"] for r in parts))
     for r in parts:
         df[r["block"] * block : (r["block"] + 1) * block] = np.frombuffer(r["counts"], np.uint64)
-    share = np.clip(df / n, RARE, 1)
-    return (1 + DAMP * np.log(1 / share) / np.log(1 / RARE)).astype(np.float32)
+    return (1 + np.log((1 + n) / (1 + np.minimum(df, n)))).astype(np.float32)
 
 
 _tables: dict[int, tuple[np.ndarray, ...]] = {}
@@ -219,19 +219,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
                     rows, samples = sample(h, row, w)
                     for k, x in zip((rows + i).tolist(), band_hashes(samples).tolist()):
                         bands[k] = x
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "digest", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pc.binary_length(batch.column(2)).cast(pa.int64()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "digest", "size", "bands"])
         give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    signed = settle(docs.select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"), "text").mapInArrow(sign, f"doc_id {kind}, digest binary, bands array<bigint>"), f"{work}/signed")
+    signed = settle(docs.select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"), "text").mapInArrow(sign, f"doc_id {kind}, digest binary, size bigint, bands array<bigint>"), f"{work}/signed")
     stand_in = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("digest"), 3)
-    texts = settle(signed.groupBy("digest").agg(F.min("doc_id").cast("long").alias("id"), F.first("bands").alias("bands")).withColumn("id", F.coalesce("id", stand_in)), f"{work}/texts")
+    texts = settle(signed.groupBy("digest").agg(F.min("doc_id").cast("long").alias("id"), F.first("size").alias("size"), F.first("bands").alias("bands")).withColumn("id", F.coalesce("id", stand_in)), f"{work}/texts")
     # A doc_id that stands for several texts would merge their groups: texts that share their least doc_id get ids of their own.
     shared = texts.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
     if not shared.isEmpty():
         odd = texts.join(shared, "id", "left_semi").withColumn("id", stand_in)
         texts = settle(texts.join(shared, "id", "left_anti").unionByName(odd.select(*texts.columns)), f"{work}/texts2")
-    slots = texts.select("id", F.explode("bands").alias("bucket"))
+    slots = texts.select("id", "size", F.explode("bands").alias("bucket"))
     leaders = settle(slots.groupBy("bucket").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "leader"), f"{work}/leaders")
     members = settle(slots.join(leaders, "bucket"), f"{work}/members")
     pairs = members.where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
@@ -257,10 +257,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
     groups = settle(components(links, f"{work}/cc1"), f"{work}/groups1")
     # What the leaders leave open: members of a bucket in different components. Strays are those outside
     # the bucket's largest component; pairs are listed for small buckets only, of at most SMALL members.
-    placed = members.join(groups, "id", "left").select("id", "bucket", F.coalesce("component", "id").alias("component"))
+    placed = members.join(groups, "id", "left").select("id", "size", "bucket", F.coalesce("component", "id").alias("component"))
     split = placed.groupBy("bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count(F.lit(1)).alias("n")).where("c1 != c2").select("bucket", "n")
     open_ = settle(placed.join(split, "bucket"), f"{work}/open")
-    tops = open_.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max(F.struct("count", "component")).alias("m")).select("bucket", F.col("m.component").alias("top"), F.col("m.count").alias("of_top"))
+    tops = open_.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("count"), F.sum("size").alias("bytes"))
+    tops = tops.groupBy("bucket").agg(F.max(F.struct("count", "component", "bytes")).alias("m"), F.sum("bytes").alias("bytes"))
+    tops = tops.select("bucket", F.col("m.component").alias("top"), F.col("m.count").alias("of_top"), "bytes", (F.col("bytes") - F.col("m.bytes")).alias("stray_bytes"))
     ranked = settle(open_.join(tops, "bucket"), f"{work}/ranked")
     strays = ranked.where("component != top")
     few = strays.where(F.col("n") <= SMALL).select("bucket", F.col("id").alias("x"), F.col("component").alias("cx"), "top")
@@ -269,7 +271,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
     more = verify(settle(few, f"{work}/few"), "second").where(F.col("s") >= threshold - 1e-12).select("a", "b")
     # Large buckets: blocks of strays against blocks of members, each compared inside one task.
     large = F.col("n") > SMALL
-    lefts, rights = F.ceil((F.col("n") - F.col("of_top")) / STRAYS).cast("int"), F.ceil(F.col("n") / MEMBERS).cast("int")
+    lefts = F.ceil(F.greatest((F.col("n") - F.col("of_top")) / STRAYS, F.col("stray_bytes") / BLOCK_BYTES)).cast("int")
+    rights = F.ceil(F.greatest(F.col("n") / MEMBERS, F.col("bytes") / (4 * BLOCK_BYTES))).cast("int")
     own = lambda count: F.pmod(F.xxhash64("id"), count).cast("int")
     grid = strays.where(large).select("bucket", "id", "component", F.lit(True).alias("stray"), own(lefts).alias("left"), F.explode(F.sequence(F.lit(0), rights - 1)).alias("right"))
     grid = grid.unionByName(ranked.where(large).select("bucket", "id", "component", F.lit(False).alias("stray"), F.explode(F.sequence(F.lit(0), lefts - 1)).alias("left"), own(rights).alias("right")))
@@ -277,7 +280,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
     blocks = settle(grid.join(bodies, "id").groupBy("bucket", "left", "right").applyInPandas(compare, "a bigint, b bigint"), f"{work}/blocks")
     more = more.union(blocks)
     if not more.isEmpty():
-        groups = settle(components(links.union(more), f"{work}/cc2"), f"{work}/groups2")
+        # The first components stand for their links: as stars, one row a member.
+        stars = groups.where("id != component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+        groups = settle(components(stars.union(more), f"{work}/cc2"), f"{work}/groups2")
     named = texts.join(groups, "id", "left").select("id", "digest", F.coalesce("component", "id").alias("group_id"))
     if carry:
         return named

@@ -9,8 +9,9 @@ SHARPEN as weight.
 
 The labelled vectors are at most MOST rows of DIMS numbers (documented bound: 1.2 MB); scoring reads
 every whole text. Defined results: null text counts as empty; a text without terms, or one that is
-near to nothing, gets the share of label 1; without labels the score is 0; equal rows each come back;
-an empty table gives an empty result; columns other than doc_id and text are never read.
+near to nothing, gets the share of label 1; without labels the score is 0; of labelled texts that tie as
+the last neighbour, the first in the order of label and terms votes; texts of any length are read whole;
+equal rows each come back; an empty table gives an empty result; columns other than doc_id and text are never read.
 """
 
 from __future__ import annotations
@@ -33,11 +34,13 @@ TERMS = WORD_TERMS + SHAPE_TERMS + 1 + SHARES
 FORM_WEIGHT = 3.0
 DIMS = 48
 NEAREST, SHARPEN = 15, 4
+#: Texts whose counts are held at a time.
+ROWS = 256
 
 
 def term_counts(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(first row, end row, matrix of term counts) of chunks of texts."""
-    for i, j, data, off in textkit.chunks(column, limit):
+    """(first row, end row, matrix of term counts) of chunks of texts: ROWS at most, so the matrix is bounded however short they are."""
+    for i, j, data, off in textkit.chunks(column, limit, ROWS):
         s, e, row = textkit.spans(data, off)
         h, shape = textkit.span_hashes(textkit.LOWER[data], s, e), textkit.shapes(data, s, e)
         same = np.zeros(len(h), bool)
@@ -92,26 +95,34 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST) -> dict:
     return fit(np.array([r["label"] for r in rows]), [np.frombuffer(r["terms"], np.uint32).reshape(2, -1) for r in rows])
 
 
-def score_texts(column: pa.Array, model: dict, block: int = 256) -> np.ndarray:
+def score_texts(column: pa.Array, model: dict) -> np.ndarray:
     out = np.full(len(column), model["share"])
     vectors, labels = model["vectors"], model["labels"]
     if not len(vectors):
         return out
     k = min(NEAREST, len(vectors))
-    for i, _, m in term_counts(column):
-        for a in range(0, len(m), block):
-            v = (np.log1p(m[a : a + block]).astype(np.float32) * model["idf"]) @ model["basis"]
-            has = np.linalg.norm(v, axis=1) > 1e-9
-            cos = _unit(v).astype(np.float32) @ vectors.T
-            near = np.argpartition(-cos, k - 1, axis=1)[:, :k]
-            weight = np.maximum(np.take_along_axis(cos, near, 1), 0).astype(np.float64) ** SHARPEN
-            total = weight.sum(1)
-            ok = has & (total > 0)
-            vote = (weight * labels[near]).sum(1) / np.where(ok, total, 1)
-            out[i + a : i + a + len(v)][ok] = np.clip(vote[ok], 0, 1)
+    for i, j, m in term_counts(column):
+        v = (np.log1p(m).astype(np.float32) * model["idf"]) @ model["basis"]
+        has = np.linalg.norm(v, axis=1) > 1e-9
+        cos = _unit(v).astype(np.float32) @ vectors.T
+        near = _nearest(cos, k)
+        weight = np.maximum(np.take_along_axis(cos, near, 1), 0).astype(np.float64) ** SHARPEN
+        total = weight.sum(1)
+        ok = has & (total > 0)
+        vote = (weight * labels[near]).sum(1) / np.where(ok, total, 1)
+        out[i:j][ok] = np.clip(vote[ok], 0, 1)
     return out
 
 
+def _nearest(cos: np.ndarray, k: int) -> np.ndarray:
+    """Places of the ``k`` largest cosines of each row; of equal ones at the edge those of the first labelled texts."""
+    near = np.argpartition(-cos, k - 1, axis=1)[:, :k]
+    least = np.take_along_axis(cos, near, 1).min(1)
+    for row in np.flatnonzero((cos >= least[:, None]).sum(1) > k):  # a tie at the edge
+        near[row] = np.argsort(-cos[row], kind="stable")[:k]
+    return near
+
+
 def scores(docs: DataFrame, model: dict) -> DataFrame:
     """All columns of ``docs`` and ``quality_score``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -43,8 +43,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def chunks(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) of runs of whole texts of about ``limit`` bytes; null: empty text."""
+def chunks(column: pa.Array, limit: int = 1 << 20, most: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets) of runs of whole texts of about ``limit`` bytes, ``most`` texts at most; null: empty text."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     wide = pa.large_binary()
@@ -57,6 +57,7 @@ def chunks(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, n
     i = 0
     while i < len(column):
         j = max(i + 1, int(np.searchsorted(off, off[i] + limit, "right")) - 1)
+        j = min(j, i + most) if most else j
         yield i, j, raw[off[i] : off[j]], off[i : j + 1] - off[i]
         i = j
 

@@ -3,11 +3,11 @@
 Method. Every response becomes a metadata record (application/warc-fields: title, outlinks, the
 source's HTTP status and headers, its digests) and a conversion record (text/plain). Both name the
 response in WARC-Refers-To, keep its target URI and date in WARC-Refers-To-Target-URI and
-WARC-Refers-To-Date, and carry the digest of their own block; the conversion also carries the source's
-payload digest. Record ids are made from the response's id, so reruns agree and the links hold.
+WARC-Refers-To-Date, and carry the digests of their own block; a conversion's payload is its block, so its
+WARC-Payload-Digest is its own too, and the source's digests and headers are fields of the metadata. Record ids are made from the response's id, so reruns agree and the links hold.
 
-Defined results: null html counts as an empty page; a null url leaves the URI headers out; equal rows
-give equal records, once for each row; broken or unclosed markup is read to its end; a record whose
+Defined results: null html counts as an empty page; a null url leaves the URI headers out; pages of any length
+are converted whole; equal rows give equal records, once for each row; broken or unclosed markup is read to its end; a record whose
 length header or HTTP head is missing or wrong raises ValueError when parsed; an empty table gives an
 empty result; other columns are ignored.
 """
@@ -28,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import slices, table
 
 #: The date of responses built from a table without one.
 DATE = "2024-01-01T00:00:00Z"
+#: Bytes of pages whose records are held at a time.
+SLICE = 8_000_000
 VERSION = b"WARC/1.1"
 _SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:caseloom:warc")
 
@@ -138,7 +140,7 @@ def derive(source: Record) -> tuple[Record, Record]:
         headers += [("WARC-Target-URI", uri)] if uri is not None else []
         headers += [("WARC-Date", date), ("WARC-Refers-To", origin)]
         headers += [("WARC-Refers-To-Target-URI", uri)] if uri is not None else []
-        headers += [("WARC-Refers-To-Date", date)] + ([("WARC-Payload-Digest", payload)] if name == "conversion" else [])
+        headers += [("WARC-Refers-To-Date", date)] + ([("WARC-Payload-Digest", digest(block))] if name == "conversion" else [])
         out.append(Record([*headers, ("WARC-Block-Digest", digest(block)), ("Content-Type", content)], block))
     return out[0], out[1]
 
@@ -151,7 +153,7 @@ def derivatives(pages: DataFrame) -> DataFrame:
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 2, SLICE)):
             rows: list[tuple] = []
             for page_id, url, page in zip(*(c.to_pylist() for c in batch.columns)):
                 # Through the written form, as a reader of the response's file would see it.
@@ -173,4 +175,4 @@ def to_file(records: list[bytes]) -> bytes:
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derivatives(table(spark, sf_dir, "pages")).drop("record")
+    return derivatives(table(spark, sf_dir, "pages"))
