@@ -11,16 +11,20 @@ of about PER_TRAINER tokens and their weights are averaged after each turn. Scor
 too, so a text's score is the log-likelihood of the whole text.
 
 Scale. Word counts come from all training texts by one aggregation. The model learns from all training
-tokens, ROUNDS times, by TRAINERS trainers at most; where these have more parts than one each, they take
-them in turns, so a task's part stays bounded and turns grow with the input. Counts of frequent words,
-CACHED at most, are broadcast; those of the others are joined. Words are identified by 64-bit hashes.
-
-Defined results: null text counts as empty (one token, the end); without training texts every base
+tokens, once. Parts of about PER_TRAINER tokens, in which long texts are cut into pieces, are dealt to
+trainers: to each its own while they are TRAINERS or fewer, beyond that to as many as there are turns, so
+a task's part stays bounded while trainers and turns both grow with the input. Weights are summed in a
+tree on the executors. Counts of frequent words, CACHED at most, are broadcast; those of the others are
+joined. Words are identified by 64-bit hashes.
+
+Defined results: words that tie at the last output of their own are taken by least hash; words of counts
+in one quarter octave are broadcast all or not at all; texts of any length are scored whole; null text counts as empty (one token, the end); without training texts every base
 score is 0; equal rows each come back; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +40,11 @@ from .common import fold, settle, shared_dir, slices, table
 HEAD, TAILS, CLASSES, UNITS = 2048, 32, 32, 32
 CACHED = 400_000
 PER_TRAINER, TRAINERS = 400_000, 64
-WINDOW, STREAMS, ROUNDS, RATE = 32, 32, 2, 0.1
+#: Tokens of a text that is learned from in one piece; the state is carried inside a piece.
+PIECE = 50_000
+#: Weights summed by one task of the tree.
+FAN = 16
+WINDOW, STREAMS, RATE = 32, 128, 0.2
 SLOTS = 256
 #: Bytes of text scored at a time.
 SLICE = 10_000_000
@@ -278,6 +286,28 @@ def _flat(ids: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray, np.n
     return flat, ends
 
 
+def _level():
+    """Quarter octaves of a word's count: at most 256 of them."""
+    return F.floor(F.log2(F.col("c").cast("double")) * 4 + 1e-9).cast("int")
+
+
+def cached_level(levels, most: int) -> int:
+    """The least level from which on no more than ``most`` words are; levels come as (level, number of words)."""
+    bar, sofar = 1 << 20, 0
+    for level, n in sorted(levels, reverse=True):
+        if sofar + n > most:
+            break
+        bar, sofar = level, sofar + n
+    return bar
+
+
+def plan_trainers(total: int) -> tuple[int, int]:
+    """Trainers and turns for so many tokens: one turn up to TRAINERS parts, beyond that about as many trainers as turns."""
+    parts = max(1, total // PER_TRAINER)
+    trainers = min(parts, max(TRAINERS, math.isqrt(parts)))
+    return trainers, max(1, round(parts / trainers))
+
+
 def learn(spark: SparkSession, docs: DataFrame, work: str) -> tuple[Vocabulary, dict, DataFrame]:
     """Vocabulary, weights and the table of counts; ``docs`` has text and train."""
     counts = count_words(docs, work)
@@ -285,14 +315,8 @@ def learn(spark: SparkSession, docs: DataFrame, work: str) -> tuple[Vocabulary,
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     head = counts.orderBy(F.desc("c"), "h").limit(HEAD - 1).collect()
     words = np.array([r["h"] for r in head], np.int64).view(np.uint64)
-    # The least count at which no more than CACHED words are broadcast; a line for each count there is.
-    ladder = sorted(((r["c"], r["n"]) for r in counts.where(f"c > {min(1 << 20, 1 + total // CACHED)} OR c <= 4096").groupBy(F.least("c", F.lit(4096)).alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
-    bar, sofar = 1 << 62, 0
-    for c, n in ladder:
-        if sofar + n > CACHED:
-            break
-        bar, sofar = c, sofar + n
-    cached = counts.where(F.col("c") >= bar).select("h", "c").toPandas().sort_values("h")
+    bar = cached_level(((r["level"], r["n"]) for r in counts.groupBy(_level().alias("level")).agg(F.count(F.lit(1)).alias("n")).collect()), CACHED)
+    cached = counts.where(_level() >= bar).select("h", "c").toPandas().sort_values("h")
     known = cached["h"].to_numpy().view(np.uint64)
     order = np.argsort(known)
     tail = counts.groupBy("tail").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()
@@ -310,44 +334,57 @@ def learn(spark: SparkSession, docs: DataFrame, work: str) -> tuple[Vocabulary,
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, 1, SLICE)):
+            of: list[int] = []
             out: list[bytes] = []
             for i, j, h, tail, row in tokens(batch.column(1)):
                 flat, ends = _flat(shared.value.ids(h, tail), row, j - i)
-                out += [x.astype(np.uint16).tobytes() for x in np.split(flat, ends[:-1])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["part", "ids"])
-
-    trainers = int(max(1, min(TRAINERS, v.total // PER_TRAINER)))
-    turns = int(max(1, v.total // (trainers * PER_TRAINER)))
-    # Parts by row, not by text: the copies of a text are dealt out too.
-    parts = docs.where("train").select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(trainers * turns)).cast("int").alias("part"), "text")
-    numbered = parts.mapInArrow(number, "part int, ids binary").select("ids", (F.col("part") % trainers).alias("trainer"), F.floor(F.col("part") / trainers).cast("int").alias("turn"))
+                for k, x in enumerate(np.split(flat.astype(np.uint16), ends[:-1]), i):
+                    pieces = [x[a : a + PIECE].tobytes() for a in range(0, len(x), PIECE)]
+                    of += [k] * len(pieces)
+                    out += pieces
+            seed = batch.column(0).take(pa.array(of, pa.int64())).to_numpy(zero_copy_only=False).astype(np.uint64)
+            # Parts by row and piece, not by text: the copies of a text and the pieces of a long one are dealt out too.
+            nth = np.arange(len(of)) - np.searchsorted(of, of) if of else np.zeros(0, np.int64)
+            part = textkit.mix(seed + nth.astype(np.uint64)) % np.uint64(trainers * turns)
+            yield pa.RecordBatch.from_arrays([pa.array((part // np.uint64(trainers)).astype(np.int32)), pa.array((part % np.uint64(trainers)).astype(np.int32)), pa.array(out, pa.binary())], ["turn", "trainer", "ids"])
+
+    trainers, turns = plan_trainers(v.total)
+    rows = docs.where("train").select(F.xxhash64("doc_id", "text", F.monotonically_increasing_id()).alias("seed"), "text")
+    numbered = rows.mapInArrow(number, "turn int, trainer int, ids binary")
     numbered.repartition("turn", "trainer").write.mode("overwrite").partitionBy("turn").parquet(f"{work}/sample")
-    sample = spark.read.schema(numbered.schema).parquet(f"{work}/sample")
+    sample = spark.read.schema("trainer int, ids binary, turn int").parquet(f"{work}/sample")
 
-    def trainer(now, k: int, seed: int):
+    def trainer(now, seed: int):
         def work_on(pdf: pd.DataFrame) -> pd.DataFrame:
             texts = [np.frombuffer(x, np.uint16) for x in sorted(pdf["ids"])]
             texts = [texts[i] for i in np.random.default_rng(seed).permutation(len(texts))]
-            new = train(now.value, shared.value, texts, RATE / (1 + k))
-            return pd.DataFrame({"trainer": [int(pdf["trainer"].iloc[0])], "n": [sum(map(len, texts))], "weights": [np.concatenate([x.ravel() for x in new.values()]).tobytes()]})
+            new, n = train(now.value, shared.value, texts, RATE), sum(map(len, texts))
+            total = np.concatenate([x.ravel() for x in new.values()]).astype(np.float64) * n
+            return pd.DataFrame({"place": [int(pdf["trainer"].iloc[0]) // FAN], "n": [n], "total": [total.tobytes()]})
 
         return work_on
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x, F32).astype(np.float64) * n for x, n in zip(pdf["weights"], pdf["n"]))
-        return pd.DataFrame({"n": [int(pdf["n"].sum())], "total": [total.tobytes()]})
+        total = sum(np.frombuffer(x) for x in pdf["total"])
+        return pd.DataFrame({"place": [int(pdf["place"].iloc[0]) // FAN], "n": [int(pdf["n"].sum())], "total": [total.tobytes()]})
 
-    for k, turn in ((k, turn) for k in range(ROUNDS) for turn in range(turns)):
-        # Each trainer's part is one group of the turn, TRAINERS at most; their weights, 1 MB each, are averaged
-        # by way of sums of eight trainers, so that the driver gets an eighth.
+    schema = "place int, n bigint, total binary"
+    for turn in range(turns):
         now = spark.sparkContext.broadcast(p)
-        trained = sample.where(F.col("turn") == turn).groupBy("trainer").applyInPandas(trainer(now, k, k * turns + turn), "trainer int, n bigint, weights binary")
-        grouped = trained.groupBy(F.floor(F.col("trainer") / 8)).applyInPandas(add, "n bigint, total binary").collect()
+        # By number, not by size: a trainer's part is a few bytes and much work.
+        sums = sample.where(F.col("turn") == turn).repartition(2 * trainers, "trainer").groupBy("trainer").applyInPandas(trainer(now, turn), schema)
+        width = -(-trainers // FAN)
+        while True:
+            sums = sums.groupBy("place").applyInPandas(add, schema)
+            if width <= FAN:
+                break
+            width = -(-width // FAN)
+        found = sums.collect()
         now.unpersist()
-        weight = float(sum(r["n"] for r in grouped))
+        weight = float(sum(r["n"] for r in found))
         if not weight:
             continue
-        mean = sum(np.frombuffer(r["total"]) for r in grouped) / weight
+        mean = sum(np.frombuffer(r["total"]) for r in found) / weight
         cut = np.cumsum([x.size for x in p.values()])
         p = {name: x.reshape(p[name].shape).astype(F32) for name, x in zip(p, np.split(mean, cut[:-1]))}
     return v, p, counts

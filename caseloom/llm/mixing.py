@@ -81,7 +81,7 @@ def expected(sizes: DataFrame, goal: DataFrame, power: float, most: float) -> Da
     above = W.partitionBy("_source").orderBy(F.desc("m")).rowsBetween(W.unboundedPreceding, -1)
     from_here = W.partitionBy("_source").orderBy(F.desc("m")).rowsBetween(0, W.unboundedFollowing)
     # Were all steps of larger measure at the limit, this would be the level of the rest; the first that stays below holds.
-    level = (F.col("target") - most * F.coalesce(F.sum("words").over(above), F.lit(0))) / F.sum(F.col("m") * F.col("words")).over(from_here)
+    level = F.try_divide(F.col("target") - most * F.coalesce(F.sum("words").over(above), F.lit(0)), F.sum(F.col("m") * F.col("words")).over(from_here))
     s = s.withColumn("level", level).withColumn("level", F.max(F.when((F.col("words") > 0) & (F.col("level") * F.col("m") <= most), F.struct("m", "level"))).over(W.partitionBy("_source"))["level"])
     e = F.greatest(F.lit(0.0), F.least(F.lit(float(most)), F.coalesce(F.col("level") * F.col("m"), F.lit(float(most)))))
     whole = F.floor(e + 1e-9)
@@ -118,7 +118,7 @@ def mix(spark: SparkSession, docs: DataFrame, weights=(5, 2, 1), share: float =
     plan = settle(plan.select(F.col("source").alias("_source"), F.col("step").alias("_step"), "stratum", "source_size", "target", "whole", "pi", "take"), f"{work}/plan")
     rows = rows.join(small(plan), on("source", "step")).drop("_source", "_step")
     may = (F.col("pi") > 0) & (F.col("size") > 0)
-    q = (F.col("u") / (1 - F.col("u"))) * (1 - F.col("pi")) / F.col("pi")
+    q = F.try_divide((F.col("u") / (1 - F.col("u"))) * (1 - F.col("pi")), F.col("pi"))
     buckets = 1 << max(4, math.isqrt(total).bit_length())
     rows = rows.withColumn("y", F.when(may, q / (1 + q))).withColumn("bucket", F.least(F.floor(F.col("y") * buckets), F.lit(buckets - 1)).cast("int"))
     # The bucket of a stratum in which its number is passed: those before it are taken whole, and in it rows are ranked.
