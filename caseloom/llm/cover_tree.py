@@ -1,7 +1,8 @@
 """Embedding near-duplicates by dual traversal of cover trees: exact pairs over a cosine threshold.
 
 Method. Equal vectors form a class. The classes are dealt to cells around pivots (the upper levels of
-a cover tree over a sample), and cells to blocks of bounded size. Each block has a cover tree: nested
+a cover tree over a sample, one for every block of vectors, MOST_PIVOTS at most), and cells to blocks of
+bounded size. Each block has a cover tree: nested
 levels whose radii halve, every node covering its descendants within a known radius. Pairs of blocks,
 then pairs of nodes, are pruned when their centres are further apart than both radii and the
 threshold's distance together, and taken whole when even their furthest members are near enough.
@@ -10,10 +11,13 @@ products in double precision. Where a level doesn't thin its points out, as for
 many dimensions, the node stays a leaf.
 
 Links are counted, not listed: a task gives each vector's number of links and one edge towards its
-component, so a group of near copies costs no more rows than it has members.
+component, so a group of near copies costs no more rows than it has members. Which cells can hold links is
+found by tasks from the pivots and the cells' radii, and pairs of blocks come from a join of cells: the
+driver keeps the pivots and a radius and a number for each cell, never blocks or pairs.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components link with
-nothing and are components of their own; vectors of different lengths don't link; equal vectors link;
+nothing and are components of their own; a cosine that equals the threshold in double precision links;
+vectors of different lengths don't link; equal vectors link;
 equal rows each come back and link with each other; rows without vec_id take part, their classes
 having ids above 2**62, which are never the least, where no row has one; an empty table gives an empty result.
 """
@@ -33,10 +37,10 @@ from .common import settle, shared_dir, table
 from .components import components
 
 COSINE = 0.95
-#: Classes in a block at most, about; a pair of blocks of 64 dimensions is 4 MB.
-BLOCK = 4096
-#: Vectors sampled for the pivots, and pivots at most.
-SAMPLE, PIVOTS = 4096, 256
+#: Classes in a block at most, about; a pair of blocks of 64 dimensions is 4 MB of floats or 8 MB of doubles.
+BLOCK = 8192
+#: Vectors sampled for each pivot, and pivots at most (2 MB of 64 dimensions).
+SAMPLE, MOST_PIVOTS = 16, 4096
 LEAF = 64
 #: Added to radii and taken from bounds, so that rounding never prunes or takes a pair wrongly.
 SLACK = 1e-6
@@ -228,11 +232,12 @@ def near_vectors(spark: SparkSession, rows: DataFrame, cosine: float = COSINE, b
         odd = classes.join(shared, "id", "left_semi").withColumn("id", stand_in).select(*classes.columns)
         classes = settle(classes.join(shared, "id", "left_anti").unionByName(odd), f"{work}/classes2")
     size = classes.count()
-    taken = classes.orderBy(F.xxhash64("key"), "key").select("v").limit(SAMPLE).collect()
+    most = max(1, min(MOST_PIVOTS, -(-size // block)))
+    taken = classes.orderBy(F.xxhash64("key"), "key").select("v").limit(SAMPLE * most).collect()
     by_dim: dict[int, np.ndarray] = {}
     for dim in {len(r["v"]) for r in taken}:
         sample = _unit(np.array([r["v"] for r in taken if len(r["v"]) == dim], np.float64))
-        by_dim[dim] = pivots(sample, max(1, min(PIVOTS, -(-size // block))))
+        by_dim[dim] = pivots(sample, most)
     centres = spark.sparkContext.broadcast(by_dim)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,36 +253,53 @@ def near_vectors(spark: SparkSession, rows: DataFrame, cosine: float = COSINE, b
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array([int(dim)] * len(x), pa.int32()), pa.array(cell, pa.int32()), pa.array(far, pa.float64())], ["id", "n", "v", "dim", "cell", "far"])
 
     dealt = settle(classes.select("id", "n", "v").mapInArrow(deal, "id bigint, n bigint, v array<double>, dim int, cell int, far double"), f"{work}/dealt")
-    cells = {(r["dim"], r["cell"]): r["m"] for r in dealt.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("m")).collect()}
-    chunks = spark.createDataFrame([(d, c, -(-m // block)) for (d, c), m in cells.items()], "dim int, cell int, chunks int")
-    placed = dealt.join(F.broadcast(chunks), ["dim", "cell"]).withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
-    # Blocks, not vectors, are listed on the driver: size / block + pivots of them.
-    reach = placed.groupBy("dim", "cell", "chunk").agg(F.max("far").alias("far")).orderBy("dim", "cell", "chunk").collect()
-    pairs: list[tuple[int, int, str]] = []
-    for dim in by_dim.keys() | {r["dim"] for r in reach}:
-        own = [(k, r) for k, r in enumerate(reach) if r["dim"] == dim]
-        p = by_dim.get(dim)
-        c = np.array([p[r["cell"]] for _, r in own]) if p is not None else np.zeros((len(own), 1))
-        f = np.array([r["far"] for _, r in own])
-        for i, (k, _) in enumerate(own):
-            d = np.sqrt(np.maximum(0, 2 - 2 * (c[i:] @ c[i]))) if p is not None else np.zeros(len(own) - i)
-            pairs += [(k, own[i + int(j)][0], f"{k}-{own[i + int(j)][0]}") for j in np.flatnonzero(d <= f[i] + f[i:] + np.sqrt(2 - 2 * cosine) + SLACK)]
-    names = spark.createDataFrame([(r["dim"], r["cell"], r["chunk"], k) for k, r in enumerate(reach)], "dim int, cell int, chunk int, block int")
+    cells = settle(dealt.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("m"), F.max("far").alias("far")).withColumn("chunks", F.ceil(F.col("m") / block).cast("int")), f"{work}/cells")
+    radii: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for dim in {r["dim"] for r in cells.select("dim").distinct().collect()}:
+        own = sorted((r["cell"], r["far"]) for r in cells.where(F.col("dim") == dim).select("cell", "far").collect())
+        radii[dim] = np.array([c for c, _ in own]), np.array([f for _, f in own])
+    reach = spark.sparkContext.broadcast(radii)
+    far = float(np.sqrt(2 - 2 * cosine))
+
+    def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each cell the cells from itself on that are near enough to hold links with it."""
+        for batch in batches:
+            for dim, cell, own in zip(*(c.to_pylist() for c in batch.columns)):
+                other, radius = reach.value[dim]
+                at = other >= cell
+                if dim in centres.value:
+                    p = centres.value[dim]
+                    at &= np.sqrt(np.maximum(0, 2 - 2 * (p[other] @ p[cell]))) <= own + radius + far + SLACK
+                found = other[at]
+                yield pa.RecordBatch.from_arrays([pa.array([dim] * len(found), pa.int32()), pa.array([cell] * len(found), pa.int32()), pa.array(found, pa.int32())], ["dim", "left", "right"])
+
+    near = cells.select("dim", "cell", "far").repartition(max(1, spark.sparkContext.defaultParallelism)).mapInArrow(meetings, "dim int, left int, right int")
+    name = lambda cell, chunk: F.concat_ws("-", "dim", cell, chunk)
+    chunks = cells.select("dim", "cell", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    left = chunks.select("dim", F.col("cell").alias("left"), F.col("chunk").alias("x"))
+    right = chunks.select("dim", F.col("cell").alias("right"), F.col("chunk").alias("y"))
+    pairs = near.join(left, ["dim", "left"]).join(right, ["dim", "right"]).where("left < right OR x <= y").select(name("left", "x").alias("a"), name("right", "y").alias("b"))
+    placed = dealt.join(F.broadcast(cells.select("dim", "cell", "chunks")), ["dim", "cell"]).withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
 
     def plant(pdf: pd.DataFrame) -> pd.DataFrame:
-        tree = Tree(_unit(np.array(pdf["v"].tolist(), np.float64)))
+        v = np.array(pdf["v"].tolist(), np.float64)
+        tree = Tree(_unit(v))
         out = io.BytesIO()
         nodes = tree.nodes
-        np.savez(out, x=tree.x, id=pdf["id"].to_numpy()[tree.order], n=pdf["n"].to_numpy()[tree.order], span=np.array([t[:3] for t in nodes]), radius=np.array([t[3] for t in nodes]), child=np.array([c for t in nodes for c in t[4]], np.int64), many=np.array([len(t[4]) for t in nodes]))
+        # The vectors as they came, as floats where that loses nothing: half the bytes, and unit vectors are made again alike.
+        low = v.astype(np.float32)
+        np.savez(out, v=(low if (low == v).all() else v)[tree.order], id=pdf["id"].to_numpy()[tree.order], n=pdf["n"].to_numpy()[tree.order], span=np.array([t[:3] for t in nodes]), radius=np.array([t[3] for t in nodes]), child=np.array([c for t in nodes for c in t[4]], np.int64), many=np.array([len(t[4]) for t in nodes]))
         return pd.DataFrame({"block": [pdf["block"].iloc[0]], "tree": [out.getvalue()]})
 
-    trees = settle(placed.join(F.broadcast(names), ["dim", "cell", "chunk"]).select("id", "n", "v", "block").groupBy("block").applyInPandas(plant, "block int, tree binary"), f"{work}/trees")
-    wanted = spark.createDataFrame([(k, name, side) for i, j, name in pairs for k, side in {(i, 0), (j, 1 if i != j else 0)}], "block int, pair string, side int")
+    trees = settle(placed.select("id", "n", "v", name("cell", "chunk").alias("block")).groupBy("block").applyInPandas(plant, "block string, tree binary"), f"{work}/trees")
+    sides = F.filter(F.array(F.struct(F.col("a").alias("block"), F.lit(0).alias("side")), F.when(F.col("a") != F.col("b"), F.struct(F.col("b").alias("block"), F.lit(1).alias("side")))), lambda x: x.isNotNull())
+    wanted = pairs.select(F.concat_ws("/", "a", "b").alias("pair"), F.inline(sides))
 
     def load(data: bytes) -> tuple[Tree, np.ndarray, np.ndarray]:
         z = np.load(io.BytesIO(data))
         tree = Tree.__new__(Tree)
-        tree.x, tree.low = z["x"], z["x"].astype(np.float32)
+        tree.x = _unit(z["v"].astype(np.float64))
+        tree.low = tree.x.astype(np.float32)
         ends = np.cumsum(z["many"])
         child = z["child"].tolist()
         tree.nodes = [(*span, float(r), child[e - m : e]) for span, r, e, m in zip(z["span"].tolist(), z["radius"], ends.tolist(), z["many"].tolist())]
