@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .text import strip
+
 Provider = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 
@@ -16,6 +19,65 @@ def run_provider(df: DataFrame, provider: Provider, schema: str) -> DataFrame:
     return df.mapInPandas(provider, schema)
 
 
+def run_chain(df: DataFrame, providers: list[tuple[str, Provider]], schema: str, key: str = "doc_id") -> DataFrame:
+    """Providers in turn, each for the rows that those before it failed: ``schema`` (with ``key``), provider, error.
+
+    A provider is given frames of rows still open and yields frames of answers; rows without an answer, or a
+    provider that raises, go to the next with the error kept. What no provider answers comes once, with
+    provider null and the last error. Each provider's answers are made once; nothing is read twice.
+    """
+    names = [x.split()[0].strip("`") for x in schema.split(",")]
+
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            left, why = pdf, pd.Series("no provider", index=pdf[key])
+            for name, provider in providers:
+                if left.empty:
+                    break
+                try:
+                    got = pd.concat([x for x in provider(iter([left])) if len(x)] or [pd.DataFrame(columns=names)])
+                    why[left[key]] = f"{name}: no answer"
+                except Exception as e:  # noqa: BLE001 a provider's failure is data: the next one is asked
+                    got = pd.DataFrame(columns=names)
+                    why[left[key]] = f"{name}: {type(e).__name__}: {e}"
+                if len(got):
+                    yield got[names].assign(provider=name, error=None)
+                left = left[~left[key].isin(got[key])]
+            if len(left):
+                yield left[[key]].reindex(columns=names).assign(provider=None, error=why[left[key]].to_numpy())
+
+    return df.mapInPandas(work, f"{schema}, provider string, error string")
+
+
+def batch_stats(work: DataFrame, done: DataFrame, results: DataFrame, key: str = "doc_id") -> DataFrame:
+    """total, processed, skipped, failed of a batch: ``done`` was finished before, ``results`` has error."""
+    total = work.agg(F.count(F.lit(1)).alias("total"))
+    skipped = work.join(done.select(key).distinct(), key, "left_semi").agg(F.count(F.lit(1)).alias("skipped"))
+    counts = results.agg(F.count_if(F.col("error").isNull()).alias("processed"), F.count_if(F.col("error").isNotNull()).alias("failed"))
+    return total.crossJoin(F.broadcast(skipped)).crossJoin(F.broadcast(counts)).select("total", "processed", "skipped", "failed")  # one row each
+
+
+def embed_nodes(nodes: DataFrame, done: DataFrame, embed: Callable[[list[str]], list[list[float]]], size: int = 50) -> tuple[DataFrame, DataFrame]:
+    """(vectors, stats) of nodes (label, key, name, text) that have text and no vector yet, in batches of ``size``.
+
+    ``vectors``: label, key, embedding. ``stats``: a row for each label and one for all (label null): total,
+    embedded, skipped; a node with blank text is skipped.
+    """
+    todo = nodes.join(done.select("label", "key").distinct(), ["label", "key"], "left_anti").where(F.col("text").isNotNull())
+    ready = F.length(strip(F.col("text"))) > 0
+    texts = todo.where(ready).select("label", "key", embedding_text(F.col("text"), F.col("name")).alias("text"))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for a in range(0, len(pdf), size):
+                part = pdf.iloc[a : a + size]
+                yield part[["label", "key"]].assign(embedding=embed(part["text"].tolist()))
+
+    vectors = texts.mapInPandas(run, "label string, key string, embedding array<double>")
+    counts = todo.rollup("label").agg(F.count(F.lit(1)).alias("total"), F.count_if(ready).alias("embedded"), F.count_if(~ready).alias("skipped"))
+    return vectors, counts
+
+
 def fallback(*results: Column) -> Column:
     """The first provider's answer that isn't null."""
     return F.coalesce(*results)
@@ -46,3 +108,16 @@ def route_track(doc_type: Column, vision_first: bool = False) -> Column:
 def forensic_type(path: Column) -> Column:
     p = F.lower(path)
     return F.when(p.contains("photograph"), "photograph").when(p.contains("legal") | p.contains("court"), "legal_document").when(p.rlike(r"(^|[^a-z])form"), "form").otherwise("document")
+
+
+class Mentions:
+    """A table function: the capitalised words of a text, of four letters and more, and their places among these."""
+
+    def eval(self, text: str):
+        for k, m in enumerate(re.finditer(r"[A-Z][a-z]{3,}", text or "")):
+            yield m.group(), k
+
+
+def register_mentions(spark, name: str = "caseloom_mentions") -> None:
+    """Make the table function known to a session's SQL."""
+    spark.udtf.register(name, F.udtf(Mentions, returnType="mention string, place int"))

@@ -31,27 +31,46 @@ def safe_props(m: Column) -> Column:
     return F.map_filter(F.transform_values(m, lambda _, v: pipe_clean(v)), lambda _, v: v.isNotNull() & (v != ""))
 
 
+def safe_list(c: Column) -> Column:
+    """A list property: its strings stripped, blank ones dropped; null where none is left."""
+    kept = F.filter(F.transform(c, strip), lambda x: x.isNotNull() & (x != ""))
+    return F.when(F.size(kept) > 0, kept)
+
+
+def safe_struct(record: Column, fields: dict[str, str]) -> Column:
+    """Properties of mixed types (name: 'string', 'list' or 'other'): strings and lists cleaned, others as they are; absent where null."""
+    clean = {"string": lambda c: F.nullif(pipe_clean(c), F.lit("")), "list": safe_list, "other": lambda c: c}
+    return F.struct(*[clean[kind](record[name]).alias(name) for name, kind in fields.items()])
+
+
 def words(c: Column) -> Column:
     return F.filter(F.split(F.lower(c), r"(?U)\s+"), lambda w: w != "")
 
 
-def repetition_ratio(c: Column, window: int = 10) -> Column:
-    """Share of sampled windows that occurred before; about 100 windows a text."""
+def sampled_windows(c: Column, window: int = 10) -> Column:
+    """About 100 windows of a text, one every hundredth of it; null below 20 characters.
+
+    One pass of a pattern that looks at a window and moves on by a step: ``substring`` would read the text
+    from its start for each.
+    """
     n = F.length(c)
     step = F.greatest(F.lit(1), (n / 100).cast("int"))
-    at = F.when(n >= 20, F.sequence(F.lit(0), n - window - 1, step))
-    parts = F.transform(at, lambda i: F.substring(c, i + 1, F.lit(window)))
-    return F.when(n < 20, 0.0).otherwise((F.size(parts) - F.size(F.array_distinct(parts))) / F.size(parts))
+    return F.when(n >= 20, F.regexp_extract_all(c, F.format_string(f"(?s)(?=(.{{{window}}}).).{{1,%d}}", step), F.lit(1)))
 
 
-def unique_word_ratio(c: Column) -> Column:
-    w = words(c)
-    return F.when(F.size(w) < 10, 0.0).otherwise(F.size(F.array_distinct(w)) / F.size(w))
+def repeated_share(parts: Column) -> Column:
+    """Share of the elements that occurred before; 0 for null. Give a column, not an expression: it is read three times."""
+    return F.when(parts.isNull() | (F.size(parts) == 0), 0.0).otherwise((F.size(parts) - F.size(F.array_distinct(parts))) / F.size(parts))
+
+
+def distinct_share(w: Column, least: int = 10) -> Column:
+    """Share of distinct words; 0 below ``least`` words. Give a column, not an expression."""
+    return F.when(F.size(w) < least, 0.0).otherwise(F.size(F.array_distinct(w)) / F.size(w))
 
 
 def number_sequence(c: Column) -> Column:
-    rest = F.regexp_replace(c, r"[ .\n]", "")
-    return (F.length(rest) > 0) & (F.length(F.regexp_replace(rest, r"\P{Nd}", "")) / F.length(rest) > 0.8)
+    rest = F.translate(c, " .\n", "")
+    return (F.length(rest) > 0) & ((F.length(rest) - F.length(F.regexp_replace(rest, r"\p{Nd}+", ""))) / F.length(rest) > 0.8)
 
 
 def occurrences(c: Column, phrase: str) -> Column:
@@ -95,6 +114,37 @@ def marker_confidence(text: Column) -> Column:
     return F.when(F.coalesce(text, F.lit("")) == "", 0.0).when(n < 20, 0.2).when(n < 100, 0.4).otherwise(0.8)
 
 
+def vision_first_confidence(text: Column) -> Column:
+    n = F.length(strip(F.coalesce(text, F.lit(""))))
+    return F.when(n > 200, 0.8).when(n > 50, 0.5).otherwise(0.2)
+
+
+def accepted(text: Column, confidence: Column, legacy: bool = False) -> Column:
+    """Whether a text reader's result is taken: by confidence, in the legacy order by length too."""
+    sure = confidence > 0.6
+    return sure & (F.length(strip(F.coalesce(text, F.lit("")))) > 100) if legacy else sure
+
+
+def vision_confidence(text: Column, track: Column, stripped: bool = False) -> Column:
+    """0.85 for a photograph; a text read from images is sure from 51 characters on, counted raw or stripped."""
+    t = F.coalesce(text, F.lit(""))
+    return F.when(track == "photograph", 0.85).when(F.length(strip(t) if stripped else t) > 50, 0.9).otherwise(0.7)
+
+
+#: Fixed value: what stands between a text and the analysis of its image.
+VISUAL = "\n\n--- VISUAL ANALYSIS ---\n\n"
+
+
+def mixed_text(text: Column, analysis: Column) -> Column:
+    return F.concat(F.coalesce(text, F.lit("")), F.lit(VISUAL), F.coalesce(analysis, F.lit("")))
+
+
+def longer_text(first: Column, second: Column, shortest: int = 100) -> Column:
+    """``first``, unless it is shorter than ``shortest`` stripped and ``second`` is longer."""
+    n = lambda c: F.length(strip(F.coalesce(c, F.lit(""))))
+    return F.when((n(first) < shortest) & (n(second) > n(first)), second).otherwise(first)
+
+
 def cosine(a: Column, b: Column) -> Column:
     dot = F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
     norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x))

@@ -10,12 +10,25 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as T
+
+def fingerprints(docs: DataFrame, bits: Column | None = None) -> DataFrame:
+    """doc_id, size, page_count, file_hash, text_hash, phash of documents (doc_id, size, page_count, content, text).
+
+    ``bits`` is the perceptual hash where there are images; blank texts have no text_hash, absent images an
+    empty phash. A page count that is null or below 1 counts as 1.
+    """
+    phash = F.lit("") if bits is None else F.coalesce(bits, F.lit(""))
+    pages = F.greatest(F.coalesce("page_count", F.lit(1)), F.lit(1))
+    return docs.select("doc_id", "size", pages.cast("long").alias("page_count"), F.sha2(F.col("content").cast("binary"), 256).alias("file_hash"), T.text_fingerprint(F.col("text")).alias("text_hash"), phash.alias("phash"))
+
 
 def similar_pairs(prints: DataFrame, ratio: float = 0.9, block: tuple[str, ...] = ("page_count",), by_size: bool = True) -> DataFrame:
     """(a, b) of documents equal in ``block`` with equal text_hash, or sizes within ``ratio`` of each other.
 
     Two equi-joins instead of one with OR: by hash, and by bands of the size's logarithm one ratio wide,
-    of which each document looks into its own and the next.
+    of which each document looks into its own and the next. Lists pairs: for small tables; ``similar_counts``
+    and ``similar_groups`` do without.
     """
     cols = ["doc_id", "size", "text_hash", *block]
     a, b = prints.select(*[F.col(c).alias(f"a_{c}") for c in cols]), prints.select(*[F.col(c).alias(f"b_{c}") for c in cols])
@@ -24,14 +37,84 @@ def similar_pairs(prints: DataFrame, ratio: float = 0.9, block: tuple[str, ...]
     order = F.col("a_doc_id") < F.col("b_doc_id")
     out = a.join(b, on([F.col("a_text_hash") == F.col("b_text_hash"), order]))
     if by_size:
-        band = lambda c: F.floor(F.log(c) / math.log(1 / ratio)).cast("int")
-        left = a.where("a_size > 0").withColumn("a_band", F.explode(F.array(band(F.col("a_size")) - 1, band(F.col("a_size")), band(F.col("a_size")) + 1)))
-        right = b.where("b_size > 0").withColumn("b_band", band(F.col("b_size")))
+        left = a.where("a_size > 0").withColumn("a_band", F.explode(_around(F.col("a_size"), ratio)))
+        right = b.where("b_size > 0").withColumn("b_band", _band(F.col("b_size"), ratio))
         near = F.least("a_size", "b_size") / F.greatest("a_size", "b_size") > ratio
         out = out.unionByName(left.join(right, on([F.col("a_band") == F.col("b_band"), order, near])).drop("a_band", "b_band"))
     return out.select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b"), *[F.col(f"a_{c}").alias(c) for c in block]).distinct()
 
 
+def _band(size: Column, ratio: float) -> Column:
+    return F.floor(F.log(size) / math.log(1 / ratio)).cast("int")
+
+
+def _around(size: Column, ratio: float) -> Column:
+    band = _band(size, ratio)
+    return F.array(band - 1, band, band + 1)
+
+
+def similar_counts(prints: DataFrame, ratio: float = 0.9) -> DataFrame:
+    """doc_id, class_id, n_links of each document: how many others the whole rule links it with.
+
+    The rule: equal page_count, and equal file_hash, equal non-empty text_hash, or sizes within ``ratio``.
+    Documents with equal page_count, size, text_hash and file_hash are a class, named by its least doc_id.
+    Links are counted between sums: of sizes, and of the sizes a hash has, so pairs of documents are never
+    listed; what a hash links that its size doesn't already is added. A document without a page count links
+    with nothing; null hashes and sizes that are null or below 1 link nothing.
+    """
+    keys = ["page_count", "_size", "_text", "_file"]
+    docs = prints.select("doc_id", "page_count", F.greatest(F.coalesce("size", F.lit(0)), F.lit(0)).cast("long").alias("_size"), F.nullif("text_hash", F.lit("")).alias("_text"), F.nullif("file_hash", F.lit("")).alias("_file"))
+    same = lambda a, b: F.col(f"{a}").eqNullSafe(F.col(f"{b}"))
+    classes = docs.groupBy(*keys).agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n"))
+    sizes = classes.where("_size > 0 AND page_count IS NOT NULL").groupBy("page_count", "_size").agg(F.sum("n").alias("n"))
+    other = sizes.select(F.col("page_count").alias("_p"), F.col("_size").alias("_s"), F.col("n").alias("_n"), F.explode(_around(F.col("_size"), ratio)).alias("_b"))
+    near = F.least("_size", "_s") / F.greatest("_size", "_s") > ratio
+    by_size = sizes.withColumn("_band", _band(F.col("_size"), ratio)).join(other, (F.col("page_count") == F.col("_p")) & (F.col("_band") == F.col("_b")) & near)
+    by_size = by_size.groupBy(F.col("page_count").alias("_p"), F.col("_size").alias("_s")).agg(F.sum("_n").alias("sized"))
+    # Classes that share a hash but not a near size: met through the hash, each other class once.
+    listed = classes.where("page_count IS NOT NULL").select(*keys, "class_id", "n")
+    hashed = listed.select("page_count", "_size", "class_id", "n", F.explode(F.array_compact(F.array(F.concat(F.lit("t"), "_text"), F.concat(F.lit("f"), "_file")))).alias("hash"))
+    several = hashed.groupBy("page_count", "hash").agg(F.count_distinct("class_id").alias("m")).where("m > 1").drop("m")
+    spread = hashed.join(several, ["page_count", "hash"])
+    a = spread.select("page_count", "hash", "_size", "class_id")
+    b = spread.select("page_count", "hash", F.col("_size").alias("_s"), F.col("class_id").alias("_c"), F.col("n").alias("_n"))
+    apart = (F.col("_size") == 0) | (F.col("_s") == 0) | ~near
+    met = a.join(b, ["page_count", "hash"]).where((F.col("class_id") != F.col("_c")) & apart).select("class_id", "_c", "_n").distinct()
+    by_hash = met.groupBy("class_id").agg(F.sum("_n").alias("hashed"))
+    own = F.when(F.col("page_count").isNull(), 0).when((F.col("_size") > 0) | F.col("_text").isNotNull() | F.col("_file").isNotNull(), F.col("n") - 1).otherwise(0)
+    sized = F.when(F.col("sized").isNotNull(), F.col("sized") - 1).otherwise(own)
+    counted = classes.join(by_size, (F.col("page_count") == F.col("_p")) & (F.col("_size") == F.col("_s")), "left").join(by_hash, "class_id", "left")
+    counted = counted.select(*[F.col(k).alias(f"c_{k}") for k in keys], "class_id", (sized + F.coalesce("hashed", F.lit(0))).cast("long").alias("n_links"))
+    on = reduce(lambda x, y: x & y, [same(k, f"c_{k}") for k in keys])
+    return docs.join(counted, on).select("doc_id", "class_id", "n_links")
+
+
+def look_alikes(prints: DataFrame, least: float = 0.9, length: int = 64) -> DataFrame:
+    """(a, b, similarity) of distinct perceptual hashes of one page count that agree in ``least`` of their bits.
+
+    Exact: hashes of ``length`` bits that differ in d bits at most agree in one of d + 1 pieces, so only
+    hashes that share a piece are compared. Equal hashes are one row of ``phash``, joined back by it.
+    """
+    differ = int(length * (1 - least) + 1e-9)
+    cuts = [round(k * length / (differ + 1)) for k in range(differ + 2)]
+    pieces = F.array(*[F.concat(F.lit(f"{k}:"), F.substring("phash", a + 1, z - a)) for k, (a, z) in enumerate(zip(cuts, cuts[1:]))])
+    kinds = prints.where(F.length("phash") == length).select("page_count", "phash").distinct().withColumn("piece", F.explode(pieces))
+    b = kinds.withColumnRenamed("phash", "b")
+    met = kinds.withColumnRenamed("phash", "a").join(b, ["page_count", "piece"]).where("a < b").select("page_count", "a", "b").distinct()
+    return met.withColumn("similarity", T.bit_similarity(F.col("a"), F.col("b"))).where(F.col("similarity") >= least)
+
+
+def best_source(docs: DataFrame, regions: DataFrame) -> DataFrame:
+    """group, page, doc_id, regions: for each page of a group's documents the one with the fewest regions there, of equals the first.
+
+    ``docs`` has group, doc_id and page_count; documents without a region on a page have none there.
+    """
+    pages = docs.select("group", "doc_id", F.explode(F.sequence(F.lit(1), F.greatest(F.col("page_count"), F.lit(1)).cast("int"))).alias("page"))
+    counts = regions.groupBy("group", "doc_id", F.col("page").cast("int").alias("page")).agg(F.count(F.lit(1)).alias("regions"))
+    all_ = pages.join(counts, ["group", "doc_id", "page"], "left").withColumn("regions", F.coalesce("regions", F.lit(0)))
+    return all_.groupBy("group", "page").agg(F.min(F.struct("regions", "doc_id")).alias("m")).select("group", "page", F.col("m.doc_id").alias("doc_id"), F.col("m.regions").alias("regions"))
+
+
 def greedy_groups(prints: DataFrame, pairs: DataFrame, block: tuple[str, ...] = ("page_count",)) -> DataFrame:
     """(seed, doc_id): in order of doc_id, each document not yet taken takes the later ones similar to it.
 

@@ -17,6 +17,13 @@ def resolve(df: DataFrame, column: str, aliases: DataFrame) -> DataFrame:
     return df.withColumn(column, name).join(a, F.col(column) == F.col("_alias"), "left").withColumn(column, F.coalesce("_canonical", F.col(column))).drop("_alias", "_canonical")
 
 
+def add_aliases(table: DataFrame, new: DataFrame) -> DataFrame:
+    """An alias table with ``new`` rows (alias, canonical, ord) added: both stripped, the last of an alias stays, old ones of it go."""
+    last = new.select(T.strip(F.col("alias")).alias("alias"), T.strip(F.col("canonical")).alias("canonical"), "ord").groupBy("alias").agg(F.max_by("canonical", "ord").alias("canonical"))
+    old = table.select(T.strip(F.col("alias")).alias("alias"), T.strip(F.col("canonical")).alias("canonical"))
+    return old.join(last.select("alias"), "alias", "left_anti").unionByName(last)
+
+
 def last_writer(df: DataFrame, keys: list[str], values: list[str], order: str | list[str]) -> DataFrame:
     """One row per key: each value from the last row, by ``order``, in which it isn't null."""
     by = F.struct(*([order] if isinstance(order, str) else order))
@@ -30,6 +37,10 @@ def upsert_map(facts: DataFrame, keys: list[str]) -> DataFrame:
     return last.groupBy(*keys).agg(F.map_from_entries(F.filter(F.collect_list(F.struct("name", "value")), lambda e: e["name"].isNotNull())).alias("props"))
 
 
+NODE_KEY = ["label", "key"]
+EDGE_KEY = ["src_label", "src_key", "rel", "dst_label", "dst_key"]
+
+
 def _listed(docs: DataFrame, column: str) -> DataFrame:
     return docs.select("doc_id", F.posexplode(column).alias("idx", "e")).withColumn("ord", F.struct("doc_id", "idx"))
 
@@ -38,7 +49,7 @@ def ingest(extractions: DataFrame, aliases: DataFrame) -> tuple[DataFrame, DataF
     """(nodes, edges, stats) of extracted documents.
 
     ``extractions`` has doc_id, doc_type and arrays of structs people(name, role, context),
-    locations(name, address, location_type, context), organizations(name, org_type, context),
+    locations(name, address, location_type, context), organizations(name, org_type, context[, description]),
     events(event_type, date, description, participants, location), allegations(description, severity,
     status, accused, victims) and associations(person_a, person_b, nature, timeframe). Nodes are unique
     by (label, key), edges by their ends and kind; statistics count merge operations, as documents made
@@ -55,10 +66,14 @@ def ingest(extractions: DataFrame, aliases: DataFrame) -> tuple[DataFrame, DataF
         m = e.select("doc_id", "ord", "key", F.explode(column).alias("name")).where(T.valid_name(F.col("name")))
         return resolve(m, "name", aliases)
 
+    # An organization without a context is described by its description, where records have one.
+    fields = docs.schema["organizations"].dataType.elementType.fieldNames()
+    context = F.nullif(F.col("e.context"), F.lit(""))
+    described = F.coalesce(context, F.col("e.description")) if "description" in fields else F.col("e.context")
     entities = [
         named("people", "Person", entry(("role", F.col("e.role")), ("description", F.col("e.context")))),
         named("locations", "Location", entry(("address", F.col("e.address")), ("location_type", F.col("e.location_type")), ("description", F.col("e.context")))),
-        named("organizations", "Organization", entry(("org_type", F.col("e.org_type")), ("description", F.col("e.context")))),
+        named("organizations", "Organization", entry(("org_type", F.col("e.org_type")), ("description", described))),
     ]
     filled = lambda c: T.strip(F.coalesce(c, F.lit(""))) != ""
     key = lambda kind: F.format_string(f"%s_{kind}_%d", "doc_id", "idx")
@@ -81,18 +96,49 @@ def ingest(extractions: DataFrame, aliases: DataFrame) -> tuple[DataFrame, DataF
     ]
     ensured = [node(m, label, "name", none) for m, label in ((taking, "Person"), (places, "Location"), (accused, "Person"), (victims, "Person"))] + [node(pairs, "Person", k, none) for k in ("a", "b")]
     union = lambda frames: reduce(DataFrame.unionByName, frames)
-    nodes = upsert_map(union(counted + ensured), ["label", "key"])
+    nodes = upsert_map(union(counted + ensured), NODE_KEY)
     edge = lambda df, a, ak, kind, b, bk, props=none: df.select("doc_id", "ord", F.lit(a).alias("src_label"), F.col(ak).alias("src_key"), F.lit(kind).alias("rel"), F.lit(b).alias("dst_label"), F.col(bk).alias("dst_key"), props.alias("props"))
     links = [edge(e, label, "key", "MENTIONED_IN", "Document", "doc_id") for e, label in zip(entities, ("Person", "Location", "Organization"))]
     links += [edge(events, "Event", "key", "DOCUMENTED_IN", "Document", "doc_id"), edge(claims, "Allegation", "key", "DOCUMENTED_IN", "Document", "doc_id")]
     links += [edge(taking, "Person", "name", "PARTICIPATED_IN", "Event", "key"), edge(places, "Event", "key", "OCCURRED_AT", "Location", "name")]
     links += [edge(accused, "Person", "name", "ALLEGED_IN", "Allegation", "key"), edge(victims, "Person", "name", "VICTIM_OF", "Allegation", "key"), edge(pairs, "Person", "a", "ASSOCIATED_WITH", "Person", "b", F.col("props"))]
     every = union(links)
-    edges = upsert_map(every, ["src_label", "src_key", "rel", "dst_label", "dst_key"])
+    edges = upsert_map(every, EDGE_KEY)
     stats = union(counted).groupBy("doc_id").agg(F.count(F.lit(1)).alias("nodes")).join(every.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rels")), "doc_id", "left").select("doc_id", "nodes", F.coalesce("rels", F.lit(0)).cast("long").alias("rels"))
     return nodes, edges, stats
 
 
+def merge_properties(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """A store after a batch: properties of ``new`` replace those of the same name, others are kept, absent keys too.
+
+    Both have ``keys`` and ``props``, keys once. Merging the same batch again changes nothing.
+    """
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    old, fresh = existing.withColumnRenamed("props", "_old"), new.withColumnRenamed("props", "_new")
+    known, come = F.coalesce("_old", none), F.coalesce("_new", none)
+    kept = F.map_filter(known, lambda k, _: ~F.map_contains_key(come, k))
+    return old.join(fresh, keys, "full_outer").select(*keys, F.map_concat(kept, come).alias("props"))
+
+
+def ingest_batch(records: DataFrame, schema: str, aliases: DataFrame, settle=None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(nodes, edges, summary, failed) of JSON records (doc_id, json): a record that can't be read fails alone.
+
+    ``summary`` has one row: total, succeeded, failed, nodes, rels, the last two being merge operations as
+    documents made them. ``failed`` lists the records left out. ``settle`` may write the parsed records to
+    shared storage, so that the branches of the ingest don't parse them again.
+    """
+    parsed = records.withColumn("_p", F.from_json("json", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})).drop("json")
+    parsed = settle(parsed) if settle else parsed
+    bad = F.col("_p").isNull() | F.col("_p._bad").isNotNull()
+    nodes, edges, stats = ingest(parsed.where(~bad).select("_p.*").drop("_bad"), aliases)
+    counts = records.select(F.lit(1).alias("total")).agg(F.count(F.lit(1)).alias("total"))
+    failed = parsed.where(bad).select("doc_id", F.lit("unreadable record").alias("error"))
+    sums = stats.agg(F.coalesce(F.sum("nodes"), F.lit(0)).alias("nodes"), F.coalesce(F.sum("rels"), F.lit(0)).alias("rels"))
+    wrong = failed.agg(F.count(F.lit(1)).alias("failed"))
+    one = counts.crossJoin(F.broadcast(wrong)).crossJoin(F.broadcast(sums))  # one row each
+    return nodes, edges, one.select("total", (F.col("total") - F.col("failed")).alias("succeeded"), "failed", "nodes", "rels"), failed
+
+
 def key_violations(nodes: DataFrame, label: str = "label", key: str = "key") -> DataFrame:
     """Nodes without a key, and keys that occur more than once in a label."""
     return nodes.groupBy(label, key).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col(key).isNull())

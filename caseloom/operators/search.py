@@ -3,24 +3,71 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import text as T
-
-
-def vector_topk(vectors: DataFrame, query: list[float], k: int = 20, by: str | None = None) -> DataFrame:
-    """The k nearest by cosine, over all or within each value of ``by``; ties by key."""
-    scored = vectors.withColumn("sim", F.round(T.cosine(F.col("embedding"), F.array(*[F.lit(float(x)) for x in query])), 6))
-    if by is None:
-        return scored.drop("embedding").orderBy(F.desc("sim"), "vec_id").limit(k)
-    # Partial top-k lists of each task meet, not a label's vectors.
-    worst = F.struct((-F.col("sim")).alias("s"), "vec_id")
-    bucket = scored.withColumn("_b", F.pmod(F.xxhash64("vec_id"), F.lit(64)))
-    first = bucket.withColumn("_r", F.row_number().over(W.partitionBy(by, "_b").orderBy(worst))).where(F.col("_r") <= k)
-    return first.withColumn("rank", F.row_number().over(W.partitionBy(by).orderBy(worst))).where(F.col("rank") <= k).drop("embedding", "_b", "_r")
+from . import graph
+
+
+def _blocks(df: DataFrame, key: str, columns: list[str], rows: int) -> DataFrame:
+    """``rows`` rows a block, about, as one list of structs; a block for an empty table doesn't come."""
+    n = max(1, -(-df.count() // rows))
+    block = F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    return df.groupBy(block.alias("_block")).agg(F.collect_list(F.struct(*columns)).alias("items"))
+
+
+def vector_topk(vectors: DataFrame, queries: DataFrame, k: int = 20, by: str | None = None, rows: int = 4096) -> DataFrame:
+    """For each of ``queries`` (query_id, query) the ``k`` nearest of ``vectors`` (vec_id, embedding, ...) by cosine.
+
+    Columns: query_id, vec_id, [by,] sim and rank, over all or within each value of ``by``; ties by vec_id.
+    Blocks of queries meet blocks of vectors, each pair of blocks gives its ``k`` best by a matrix product in
+    double precision, and only these meet again: rows grow with queries times blocks, not times vectors.
+    Null, zero and non-finite vectors, and those of another length, are near to nothing.
+    """
+    kind, qkind = (df.schema[c].dataType.simpleString() for df, c in ((vectors, "vec_id"), (queries, "query_id")))
+    label = vectors.schema[by].dataType.simpleString() if by else "int"
+    side = vectors.select(F.col("vec_id").alias("id"), (F.col(by) if by else F.lit(0)).alias("label"), F.col("embedding").cast("array<double>").alias("v")).where("v IS NOT NULL")
+    asked = queries.select(F.col("query_id").alias("id"), F.col("query").cast("array<double>").alias("v")).where("v IS NOT NULL")
+    left = _blocks(asked, "id", ["id", "v"], rows // 4).select(F.col("items").alias("q"))
+    right = _blocks(side, "id", ["id", "label", "v"], rows).select(F.col("items").alias("x"))
+
+    def unit(items, dim: int):
+        import numpy as np
+
+        v = [np.asarray(i["v"], float) for i in items]
+        ok = np.array([len(x) == dim and np.isfinite(x).all() and bool(np.any(x)) for x in v], bool)
+        m = np.array([x for x, good in zip(v, ok) if good]).reshape(-1, dim)
+        return [i for i, good in zip(items, ok) if good], m / np.linalg.norm(m, axis=1, keepdims=True)
+
+    def meet(frames):
+        import numpy as np
+        import pandas as pd
+
+        for pdf in frames:
+            for q, x in zip(pdf["q"], pdf["x"]):
+                out = []
+                for dim in {len(i["v"]) for i in q} - {0}:
+                    qi, qm = unit(q, dim)
+                    xi, xm = unit(x, dim)
+                    if not len(qi) or not len(xi):
+                        continue
+                    ids, labels = np.array([i["id"] for i in xi]), np.array([i["label"] for i in xi])
+                    places = [np.flatnonzero(labels == value) for value in pd.unique(labels)] if by else [np.arange(len(xi))]
+                    sims = np.round(qm @ xm.T, 6)
+                    for i, sim in zip(qi, sims):
+                        for at in places:
+                            best = at[np.lexsort((ids[at], -sim[at]))[:k]]
+                            out += zip([i["id"]] * len(best), ids[best], labels[best], sim[best])
+                yield pd.DataFrame(out, columns=["query_id", "vec_id", "label", "sim"])
+
+    pairs = left.crossJoin(right)  # blocks with blocks
+    found = pairs.repartition(max(1, vectors.sparkSession.sparkContext.defaultParallelism * 4)).mapInPandas(meet, f"query_id {qkind}, vec_id {kind}, label {label}, sim double")
+    part = W.partitionBy("query_id", "label").orderBy(F.desc("sim"), "vec_id")
+    best = found.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= k)
+    return best.withColumnRenamed("label", by) if by else best.drop("label")
 
 
 def term_index(docs: DataFrame) -> DataFrame:
@@ -43,11 +90,21 @@ def keyword_search(docs: DataFrame, terms: list[str], k: int = 20, k1: float = 1
     return j.groupBy("doc_id").agg(F.round(F.sum(score), 6).alias("score")).orderBy(F.desc("score"), "doc_id").limit(k)
 
 
-def fuse(left: DataFrame, right: DataFrame, key: str, c: int = 60) -> DataFrame:
-    """Reciprocal-rank fusion of two short ranked lists (key, rank)."""
-    j = left.withColumnRenamed("rank", "r1").join(right.withColumnRenamed("rank", "r2"), key, "full_outer")
-    score = F.coalesce(1 / (c + F.col("r1")), F.lit(0.0)) + F.coalesce(1 / (c + F.col("r2")), F.lit(0.0))
-    return j.select(key, F.round(score, 8).alias("score"))
+def fuse(left: DataFrame, right: DataFrame, key: str | list[str], c: int = 60) -> DataFrame:
+    """Reciprocal-rank fusion of two ranked lists (key, rank)."""
+    return fuse_all([left, right], [key] if isinstance(key, str) else key, c)
+
+
+def fuse_all(legs: list[DataFrame], key: list[str], c: int = 60) -> DataFrame:
+    """Reciprocal-rank fusion of any number of ranked lists: the sum of 1 / (c + rank) for each key, and how many lists have it."""
+    every = reduce(DataFrame.unionByName, [leg.select(*key, "rank") for leg in legs])
+    return every.groupBy(*key).agg(F.round(F.sum(1 / (c + F.col("rank"))), 8).alias("score"), F.count(F.lit(1)).cast("int").alias("legs"))
+
+
+def graph_leg(edges: DataFrame, seeds: DataFrame, hops: int = 3, k: int = 20) -> DataFrame:
+    """(key, rank) of the ``k`` nodes nearest to ``seeds`` (key) over ``edges``, by hops, then key; seeds aren't in it."""
+    near = graph.expand(edges, seeds, hops).where("hop > 0").orderBy("hop", "key").limit(k)
+    return near.select("key", F.row_number().over(W.orderBy("hop", "key")).alias("rank"))  # k rows
 
 
 #: Question forms and the SQL they stand for; names in braces are parameters of the SQL.
@@ -69,5 +126,27 @@ def to_sql(question: str) -> tuple[str, dict[str, str]]:
 
 def answer(spark: SparkSession, edges: DataFrame, question: str) -> DataFrame:
     sql, args = to_sql(question)
-    edges.createOrReplaceTempView("edges")
-    return spark.sql(sql, args=args)
+    return spark.sql(sql.replace("FROM edges", "FROM {edges}"), args=args, edges=edges)
+
+
+def engine(spark: SparkSession, edges: DataFrame, docs: DataFrame, question: str, hops: int = 3, k: int = 20, least: int = 2) -> dict[str, DataFrame]:
+    """answer, sources, patterns and graph_context of a question: search, then expansion, then patterns.
+
+    ``edges`` has src_key, rel, dst_label, dst_key; ``docs`` has doc_id, text. The answer comes from the
+    question's template, or is empty where it has none; sources are the documents that the answers are
+    mentioned in and those that the question's words find, fused by rank; the context is what lies within
+    ``hops`` of the names in the question and the answers; patterns are the answers with ``least`` documents.
+    """
+    try:
+        found, names = answer(spark, edges, question).distinct(), list(to_sql(question)[1].values())
+    except ValueError:
+        found, names = spark.createDataFrame([], "answer string"), []
+    words = sorted({w for w in re.split(r"[^\w]+", question.lower()) if len(w) > 3})
+    cited = edges.where("rel = 'MENTIONED_IN'").join(F.broadcast(found.limit(k)), F.col("src_key") == F.col("answer"))
+    counted = cited.groupBy(F.col("dst_key").alias("doc")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "doc").limit(k)
+    by_graph = counted.select("doc", F.row_number().over(W.orderBy(F.desc("n"), "doc")).alias("rank"))  # k rows
+    by_words = keyword_search(docs, words, k).select(F.col("doc_id").cast("string").alias("doc"), F.row_number().over(W.orderBy(F.desc("score"), "doc_id")).alias("rank"))
+    seeds = found.select(F.col("answer").alias("key")).union(spark.createDataFrame([(n,) for n in names], "key string")).distinct()
+    context = graph.expand(edges.select(F.col("src_key").alias("src"), F.col("dst_key").alias("dst")), seeds, hops)
+    patterns = cited.groupBy("answer").agg(F.count_distinct("dst_key").alias("n_docs")).where(F.col("n_docs") >= least)
+    return {"answer": found, "sources": fuse_all([by_graph, by_words], ["doc"]), "patterns": patterns, "graph_context": context}

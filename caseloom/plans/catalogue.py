@@ -2,35 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import providers, text as T
 from ..operators import batch, duplicates, graph, patterns, quality, schema, search
 from ..streaming import sessions as streaming
-
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from .registry import ORACLES, QUERIES, query  # noqa: F401 the lists are read from here
+from .registry import table as _t
 
 EVENT_TYPES = ["signup", "error", "click", "view"]
 TERMS = ["the", "ention", "ble"]
 
 
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
-def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
-
-
 _Q = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM documents),
 w AS (SELECT *, CASE WHEN n >= 20 THEN list_transform(range(0, n - 10, greatest(1, n // 100)), lambda i: substr(t, i + 1, 10)) END AS win,
@@ -64,10 +48,11 @@ def repetition_clean_stats(spark, d):
 @query(r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
 p AS (SELECT doc_id, pos, CASE WHEN length(line) >= 500 THEN string_split(regexp_replace(line, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)) ELSE [line] END AS parts FROM l),
 s AS (SELECT doc_id, pos, len(parts) AS n, unnest(parts) AS part, generate_subscripts(parts, 1) AS k FROM p), t AS (SELECT *, regexp_replace(part, '^\s+|\s+$', '', 'g') AS key FROM s),
-r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, pos, key ORDER BY k) AS nth FROM t)
-SELECT doc_id, count(*) FILTER (n >= 6 AND length(key) > 20 AND nth > 3) AS removed FROM r GROUP BY doc_id""")
+r AS (SELECT *, n >= 6 AND length(key) > 20 AND row_number() OVER (PARTITION BY doc_id, pos, key ORDER BY k) > 3 AS out FROM t),
+w AS (SELECT doc_id, pos, count(*) FILTER (out) AS removed, string_agg(part, ' ' ORDER BY k) FILTER (NOT out) AS capped FROM r GROUP BY doc_id, pos)
+SELECT doc_id, sum(removed)::BIGINT AS removed, md5(string_agg(CASE WHEN removed > 0 THEN capped ELSE line END, chr(10) ORDER BY pos)) AS text_md5 FROM w JOIN l USING (doc_id, pos) GROUP BY doc_id""")
 def sentence_clean_stats(spark, d):
-    return quality.cap_sentences(_t(spark, d, "documents")).select("doc_id", "removed")
+    return quality.cap_sentences(_t(spark, d, "documents")).select("doc_id", "removed", F.md5("text").alias("text_md5"))
 
 
 _PAGES = "greatest(1, ceil(n_chars / 3000))"
@@ -133,17 +118,6 @@ def exact_dup_groups(spark, d):
     return _prints(spark, d).where("text_hash IS NOT NULL").groupBy("text_hash").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-_PAIRS = _PRINT + """, pr AS (SELECT a.doc_id AS a, b.doc_id AS b FROM fp a JOIN fp b ON a.page_count = b.page_count AND a.lang = b.lang AND a.source = b.source AND a.doc_id < b.doc_id
-AND (a.text_hash = b.text_hash OR (a.size > 0 AND b.size > 0 AND least(a.size, b.size)::DOUBLE / greatest(a.size, b.size) > 0.9)))
-"""
-_BLOCK = ("page_count", "lang", "source")
-
-
-@query(_PAIRS + "SELECT a, b FROM pr")
-def near_dup_pairs(spark, d):
-    return duplicates.similar_pairs(_prints(spark, d), block=_BLOCK).select("a", "b")
-
-
 @query()
 def near_dup_groups(spark, d):
     """By the whole rule: only page counts must be equal, not language and source as near_dup_pairs' SQL has it."""
@@ -198,38 +172,6 @@ def _nodes(spark, d):
     return n("customer", "Person", "c_name").unionByName(n("supplier", "Organization", "s_name")).unionByName(n("nation", "Location", "n_name")).unionByName(n("orders", "Document", "o_orderkey"))
 
 
-@query(f"SELECT label, key FROM ({_NODES}) GROUP BY label, key")
-def graph_nodes(spark, d):
-    return _nodes(spark, d).distinct()
-
-
-_EDGES = """SELECT c_name AS src, 'MENTIONED_IN' AS rel, o_orderkey::VARCHAR AS dst FROM customer JOIN orders ON c_custkey = o_custkey UNION SELECT s_name, 'MENTIONED_IN', l_orderkey::VARCHAR FROM supplier JOIN lineitem ON s_suppkey = l_suppkey
-UNION SELECT c_name, 'LOCATED_IN', n_name FROM customer JOIN nation ON c_nationkey = n_nationkey UNION SELECT s_name, 'LOCATED_IN', n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
-
-
-def _edges(spark, d):
-    c, s, n = (_t(spark, d, x) for x in ("customer", "supplier", "nation"))
-    e = lambda df, a, rel, b: df.select(F.col(a).alias("src"), F.lit(rel).alias("rel"), F.col(b).cast("string").alias("dst"))
-    a = e(c.join(_t(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey")), "c_name", "MENTIONED_IN", "o_orderkey")
-    b = e(s.join(_t(spark, d, "lineitem"), F.col("s_suppkey") == F.col("l_suppkey")), "s_name", "MENTIONED_IN", "l_orderkey")
-    return a.unionByName(b).unionByName(e(c.join(n, F.col("c_nationkey") == F.col("n_nationkey")), "c_name", "LOCATED_IN", "n_name")).unionByName(e(s.join(n, F.col("s_nationkey") == F.col("n_nationkey")), "s_name", "LOCATED_IN", "n_name")).distinct()
-
-
-@query(_EDGES)
-def graph_edges(spark, d):
-    return _edges(spark, d)
-
-
-@query("SELECT o_orderkey AS doc_id, 1 + count(DISTINCT c_name) + count(DISTINCT l_suppkey) AS nodes, count(DISTINCT c_name) + count(DISTINCT l_suppkey) AS rels FROM orders LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey")
-def ingest_stats(spark, d):
-    """Each order as an extracted document: its customer is a person, its suppliers are organizations."""
-    orders = _t(spark, d, "orders").join(_t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
-    orgs = _t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.countDistinct("l_suppkey").alias("orgs"))
-    j = orders.join(orgs, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    rels = F.when(T.valid_name(F.col("c_name")), 1).otherwise(0) + F.coalesce("orgs", F.lit(0))
-    return j.select(F.col("o_orderkey").alias("doc_id"), (1 + rels).cast("long").alias("nodes"), rels.cast("long").alias("rels"))
-
-
 @query("SELECT o_custkey, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS priority, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) FILTER (o_orderstatus <> 'O') AS closed_status FROM orders GROUP BY o_custkey")
 def last_writer_wins(spark, d):
     o = _t(spark, d, "orders").withColumn("closed_status", F.when(F.col("o_orderstatus") != "O", F.col("o_orderstatus"))).withColumnRenamed("o_orderpriority", "priority")
@@ -289,23 +231,6 @@ def embed_work_selection(spark, d):
     return todo.select("doc_id", F.md5(providers.embedding_text(F.col("text"), F.col("lang"))).alias("text_md5"))
 
 
-_SIM = "SELECT vec_id, label, round(list_cosine_similarity(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0)), 6) AS sim FROM embeddings"
-
-
-def _query_vector(spark, d):
-    return _t(spark, d, "embeddings").where("vec_id = 0").first()["embedding"]
-
-
-@query(f"SELECT * FROM ({_SIM}) ORDER BY sim DESC, vec_id LIMIT 20")
-def vector_topk(spark, d):
-    return search.vector_topk(_t(spark, d, "embeddings"), _query_vector(spark, d))
-
-
-@query(f"SELECT vec_id, label, sim, row_number() OVER (PARTITION BY label ORDER BY sim DESC, vec_id)::INTEGER AS rank FROM ({_SIM}) QUALIFY rank <= 3")
-def vector_topk_by_label(spark, d):
-    return search.vector_topk(_t(spark, d, "embeddings"), _query_vector(spark, d), 3, "label")
-
-
 _BM25 = r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{Nd}]+'), lambda x: x <> '') AS w FROM documents), tot AS (SELECT count(*) AS docs, avg(len(w)) AS mean FROM w),
 h AS (SELECT doc_id, len(w) AS n, unnest(list_filter(w, lambda x: x IN ('the', 'ention', 'ble'))) AS token FROM w), tf AS (SELECT token, doc_id, n, count(*) AS tf FROM h GROUP BY ALL), df AS (SELECT token, count(*) AS df FROM tf GROUP BY token),
 bm AS (SELECT doc_id, round(sum(ln(1 + (docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * n / mean))), 6) AS score FROM tf JOIN df USING (token), tot GROUP BY doc_id ORDER BY score DESC, doc_id LIMIT 20)
@@ -317,15 +242,6 @@ def keyword_search(spark, d):
     return search.keyword_search(_t(spark, d, "documents"), TERMS)
 
 
-@query(_BM25 + f""", kw AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM bm), ve AS (SELECT vec_id AS doc_id, row_number() OVER (ORDER BY sim DESC, vec_id) AS rank FROM (SELECT * FROM ({_SIM}) ORDER BY sim DESC, vec_id LIMIT 20))
-SELECT doc_id, round(coalesce(1 / (60 + kw.rank)::DOUBLE, 0) + coalesce(1 / (60 + ve.rank)::DOUBLE, 0), 8) AS score FROM kw FULL JOIN ve USING (doc_id)""")
-def hybrid_rrf(spark, d):
-    """Ranks of two lists of 20: the windows see 20 rows each."""
-    kw = keyword_search(spark, d).select("doc_id", F.row_number().over(W.orderBy(F.desc("score"), "doc_id")).alias("rank"))
-    ve = vector_topk(spark, d).select(F.col("vec_id").alias("doc_id"), F.row_number().over(W.orderBy(F.desc("sim"), "vec_id")).alias("rank"))
-    return search.fuse(kw, ve, "doc_id")
-
-
 _LOC = """e AS (SELECT n_name AS src, r_name AS dst FROM nation JOIN region ON n_regionkey = r_regionkey UNION SELECT s_name, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey), b AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e)"""
 
 
@@ -481,15 +397,10 @@ def merged_copies(spark, d):
     return merged.select("group", "base_id", F.md5("merged_text").alias("merged_md5"), "total_fillins")
 
 
-@query("SELECT 18 AS keys, 6 AS vectors, 4 AS fulltexts, true AS ok")
-def schema_verify(spark, d):
-    want = schema.wanted(spark)
-    return schema.verify(schema.create(want.where("kind = 'key'"), want)).select("keys", "vectors", "fulltexts", "ok")
-
-
-@query()
+@query("""WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 1 HOUR THEN 0 ELSE 1 END AS new FROM events), s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
+SELECT user_id, min(ts) AS start_ts, max(ts) + INTERVAL 1 HOUR AS end_ts, count(*) AS n FROM s GROUP BY user_id, k""")
 def event_sessions_stream(spark, d):
-    return _streamed(spark, streaming.sessions(streaming.file_stream(spark, f"{d}/events.parquet")))
+    return streaming.closed_sessions(spark, f"{d}/events.parquet", streaming.work_folder(spark))
 
 
 @query(_Q + "SELECT * FROM report")
@@ -498,9 +409,8 @@ def quality_stream(spark, d):
 
 
 def _streamed(spark, stream):
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    work = f"{base.rstrip('/')}/caseloom-stream/{uuid.uuid4().hex}"
+    work = streaming.work_folder(spark)
     return streaming.run_to_end(stream, f"{work}/out", f"{work}/checkpoint")
+
+
+from . import evidence, intake, retrieval  # noqa: E402, F401 their queries are registered on import
