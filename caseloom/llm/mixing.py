@@ -7,10 +7,11 @@ is certain: so many copies are allocated. The fraction is the inclusion probabil
 Documents are ranked by their random odds over their inclusion odds, [u/(1-u)] / [pi/(1-pi)] with u
 uniform, and of each stratum, a source's documents of one octave of sizes, a fixed number with the least
 ranks is taken. The numbers are set before any document is drawn: from the largest octave to the least,
-each is its expected words, and what rounding left over so far, over the expected size of a document
-taken, rounded up or down at random. Closing rule: then one document of the source is added, or one of
-the extra copies left out, that whose size is nearest to what is missing or too much, if that brings the
-words nearer to the target. It is the only departure from the design's fixed numbers.
+each is the sum of its pi, scaled so that what larger octaves' rounding left over is shared by all that
+remain in proportion to their expected words, and rounded up or down at random. Closing rule: then one
+document of the source is added, or one of the extra copies left out, that whose size is nearest to what
+is missing or too much, if that brings the words nearer to the target. It is the only departure from the
+design's fixed numbers.
 
 Scale. No source is sorted as a whole: ranks are dealt over about sqrt(rows) buckets of y = q/(1+q), the
 documents of each bucket are counted, and only the one bucket of a stratum in which its number is reached
@@ -90,16 +91,21 @@ def expected(sizes: DataFrame, goal: DataFrame, power: float, most: float) -> Da
 
 
 def numbers(steps: DataFrame, seed: int) -> DataFrame:
-    """source, stratum, take: how many documents of each octave are drawn, by expected words carried from large to small."""
+    """source, stratum, take: how many documents of each octave are drawn, what rounding leaves being carried from large to small."""
     strata = steps.where("pi > 0 AND words > 0").groupBy("source", "stratum").agg(F.sum(F.col("words") * F.col("pi")).alias("e"), F.sum(F.col("n") * F.col("pi")).alias("p"), F.sum("n").alias("n"))
-    listed = strata.groupBy("source").agg(F.array_sort(F.collect_list(F.struct((-F.col("stratum")).alias("o"), "e", "p", F.col("n").cast("double").alias("n"), uniform(F.lit(seed), "source", "stratum").alias("r")))).alias("strata"))
-    take = "greatest(0D, least(x.n, floor((a.carry + x.e) / (x.e / x.p) + x.r)))"
+    below = W.partitionBy("source").orderBy("stratum").rowsBetween(W.unboundedPreceding, 0)
+    strata = strata.withColumn("rest", F.sum("e").over(below))
+    listed = strata.groupBy("source").agg(F.array_sort(F.collect_list(F.struct((-F.col("stratum")).alias("o"), "e", "p", "rest", F.col("n").cast("double").alias("n"), uniform(F.lit(seed), "source", "stratum").alias("r")))).alias("strata"))
+    take = "greatest(0D, least(x.n, floor(x.p * (1 + a.carry / x.rest) + x.r)))"
     drawn = f"aggregate(strata, named_struct('carry', 0D, 'out', cast(array() as array<struct<stratum:int,take:bigint>>)), (a, x) -> named_struct('carry', a.carry + x.e - {take} * x.e / x.p, 'out', concat(a.out, array(named_struct('stratum', -x.o, 'take', cast({take} as bigint))))), a -> a.out)"
     return listed.select("source", F.inline(F.expr(drawn)))
 
 
-def mix(spark: SparkSession, docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 8, work: str | None = None, carry: list[str] | None = None, power: float = POWER) -> DataFrame:
-    """doc_id, size, source_size, target, taken, copies of each row of ``docs``, with the columns in ``carry`` as _c_<name>."""
+def mix(spark: SparkSession, docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 8, work: str | None = None, carry: list[str] | None = None, power: float = POWER, closing: bool = True) -> DataFrame:
+    """doc_id, size, source_size, target, taken, copies of each row of ``docs``, with the columns in ``carry`` as _c_<name>.
+
+    Without ``closing`` the numbers of the design stay fixed, and words are as near to the target as these are.
+    """
     work = work or shared_dir(spark)
     carry = carry or []
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
@@ -134,6 +140,8 @@ def mix(spark: SparkSession, docs: DataFrame, weights=(5, 2, 1), share: float =
     before = (F.col("y") < F.col("last_y")) | ((F.col("y") == F.col("last_y")) & (F.col("rid") <= F.col("last_rid")))
     taken = F.col("cut").isNull() | (F.col("bucket") < F.col("cut")) | ((F.col("bucket") == F.col("cut")) & F.coalesce(before, F.lit(False)))
     rows = rows.withColumn("extra", F.when(may & taken, 1).otherwise(0)).withColumn("copies", F.when(F.col("size") > 0, F.col("whole")).otherwise(0) + F.col("extra"))
+    if not closing:
+        return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), F.col("copies").cast("long").alias("copies"), *[f"_c_{c}" for c in carry])
     # Closing: what each source's words miss of its target (or have too much), and the one document nearest to that.
     gap = settle(rows.groupBy(F.col("source").alias("_source")).agg((F.max("target") - F.sum(F.col("copies") * F.col("size"))).alias("gap")), f"{work}/gap")
     off = F.abs(F.col("gap") - F.col("size") * F.when(F.col("extra") == 1, -1).otherwise(1))

@@ -140,7 +140,7 @@ t AS (SELECT e.event_id, event_id % 5 AS m, CASE WHEN event_id % 5 = 0 THEN ts::
 """
 
 
-@query(_DATED + """SELECT event_id, event_date, CASE m WHEN 0 THEN 'day' WHEN 1 THEN 'month' WHEN 2 THEN 'year' WHEN 3 THEN 'year' END AS precision, m = 3 AS approximate, participants, citations,
+@query(_DATED + """SELECT event_id, event_date::VARCHAR AS event_date, CASE m WHEN 0 THEN 'day' WHEN 1 THEN 'month' WHEN 2 THEN 'year' WHEN 3 THEN 'year' END AS precision, m = 3 AS approximate, participants, citations,
 CASE WHEN m = 4 THEN 'undated' ELSE date END || ': ' || description || CASE WHEN participants <> '' THEN ' (' || participants || ')' ELSE '' END || CASE WHEN citations <> '' THEN ' [' || citations || ']' ELSE '' END AS line FROM t""")
 def cited_timeline(spark, d):
     """Orders as events with dates written in five ways, suppliers as participants, parts as citations."""
@@ -148,7 +148,7 @@ def cited_timeline(spark, d):
     date = F.when(k % 5 == 0, F.date_format(at, "yyyy-MM-dd")).when(k % 5 == 1, F.date_format(at, "yyyy-MM")).when(k % 5 == 2, F.date_format(at, "yyyy")).when(k % 5 == 3, F.concat(F.lit("~"), F.date_format(at, "yyyy"))).otherwise("soon")
     events = _t(spark, d, "orders").select(k.alias("event_id"), date.alias("date"), F.col("o_orderpriority").alias("description"))
     lines = _t(spark, d, "lineitem").join(_t(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("l_orderkey").alias("event_id"), F.col("s_name").alias("name"), F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("doc"))
-    return patterns.dated_timeline(events, lines.select("event_id", "name"), lines.select("event_id", "doc"))
+    return patterns.dated_timeline(events, lines.select("event_id", "name"), lines.select("event_id", "doc")).withColumn("event_date", F.col("event_date").cast("string"))
 
 
 _LINKS = """WITH l AS (SELECT n_name AS source, r_name AS target, 'PART_OF' AS rel, count(*) AS weight FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY ALL)

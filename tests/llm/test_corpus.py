@@ -7,6 +7,7 @@ import pytest
 import corpus_pipeline
 from caseloom.llm import mixing, sharding, warc
 from caseloom.llm.common import settle, shared_dir
+from tests.llm import plain
 
 SF = "/root/testdata/sf0.001"
 EDGE = [(1, "Ab c", "a"), (2, None, "a"), (None, "x y z", None), (3, "", "b"), (3, "q w", "b"), (3, "q w", "b")]
@@ -66,27 +67,11 @@ def test_shards_with_a_hot_group_and_edges(spark):
     assert sharding.shard_documents(spark, edge).count() == 6 and sharding.shard_documents(spark, edge.limit(0)).count() == 0
 
 
-def water(sizes, weights=(5, 2, 1)):
-    names = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
-    w = {s: weights[k % 3] for k, s in enumerate(names)}
-    left, free, target = 1.5 * sum(sizes.values()), set(sizes), {}
-    while free:
-        share = {s: left * w[s] / sum(w[x] for x in free) for s in free}
-        over = [s for s in free if share[s] > 2 * sizes[s] + 1e-9]
-        if not over:
-            return target | share
-        for s in over:
-            target[s] = 2.0 * sizes[s]
-            left -= target[s]
-            free.discard(s)
-    return target
-
-
 def test_mix_reaches_targets(spark):
     d = "/root/testdata/sf0.01"
     got = mixing.op8_mixing(spark, d).toPandas().merge(spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "source").toPandas(), on="doc_id")
     sizes = got.groupby("source")["size"].sum().to_dict()
-    want = water(sizes)
+    want = plain.water(sizes)
     for s, g in got.groupby("source"):
         assert g.target.iloc[0] == pytest.approx(want[s]) and g.source_size.iloc[0] == sizes[s]
         assert abs(g.taken.sum() - want[s]) <= 0.03 * want[s]  # sources of about 50 documents; 2.4 % at most were measured

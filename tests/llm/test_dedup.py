@@ -2,12 +2,12 @@ import hashlib
 import random
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from caseloom.llm import components, cover_tree, exact_dedup, near_dedup, textkit
 from caseloom.llm.common import shared_dir
+from tests.llm import plain
 from tests.oracle import duck, rows
 
 EDGE = [(1, "Ab"), (2, "aB"), (3, "ÀB"), (4, None), (5, ""), (None, "x"), (7, "x"), (7, "x")]
@@ -49,27 +49,12 @@ def test_exact_over_100_kb_and_many_batches(spark, tmp_path):
     assert {(r.doc_id, r.keep_id) for r in got} == {(k, 4 + k % 2) for k in range(6)} and all(r.locator for r in got)
 
 
-def brute_groups(texts, idf):
-    sets = []
-    for t in texts:
-        ((_, _, h, _, w),) = near_dedup.weighted(pa.array([t]), idf)
-        sets.append(dict(zip(h.tolist(), w.tolist())))
-    parent = list(range(len(texts)))
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for i, a in enumerate(sets):
-        for j in range(i):
-            b = sets[j]
-            low = sum(min(v, b[k]) for k, v in a.items() if k in b)
-            total = sum(a.values()) + sum(b.values()) - low
-            if texts[i] == texts[j] or total and low / total >= 0.8:
-                x, y = find(i), find(j)
-                parent[max(x, y)] = min(x, y)
-    return [find(i) for i in range(len(texts))]
+def brute_groups(texts):
+    """By plain words and counts; pairs too near to the threshold for hashed frequencies to decide must not occur."""
+    pairs = plain.weighted_pairs(texts)
+    assert not [s for s in pairs.values() if 0.797 < s < 0.803]
+    same = [(texts.index(t), k) for k, t in enumerate(texts) if texts.index(t) < k]
+    return plain.components(len(texts), [p for p, s in pairs.items() if s >= 0.8] + same)
 
 
 @pytest.mark.parametrize("small", [32, 2], ids=["pairs", "blocks"])
@@ -85,7 +70,7 @@ def test_near_equals_brute_force(spark, sf, monkeypatch, small):
         texts.append(" ".join(words))
     texts += [r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").limit(60).collect()]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    want = brute_groups(texts, near_dedup.frequencies(docs))
+    want = brute_groups(texts)
     got = {r.doc_id: r.group_id for r in near_dedup.near_duplicates(spark, docs).collect()}
     assert [got[k] for k in range(len(texts))] == want
 
