@@ -160,38 +160,53 @@ def _step(p: dict, a: np.ndarray, h: np.ndarray):
     return z, r, m, n, n + z * (h - n)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def _softmax(x: np.ndarray, picked: np.ndarray, gradient: bool) -> np.ndarray:
+    """Log-probability of the picked row of each column of logits; with ``gradient`` x becomes the gradient of its negative."""
+    every = np.arange(x.shape[1])
+    x -= x.max(0)
+    out = x[picked, every]
+    np.exp(x, out=x)
+    total = x.sum(0)
+    if gradient:
+        x /= total
+        x[picked, every] -= 1
+    return out - np.log(total)
 
 
 def _outputs(p: dict, v: Vocabulary, h: np.ndarray, ids: np.ndarray, grads: dict | None = None):
-    """Natural log-probability of each token's class and head word; with ``grads`` also the gradient by h of their sum's negative."""
+    """Natural log-probability of each token's class and head word; with ``grads`` also the gradient by h of their sum's negative.
+
+    Tokens are columns: sums over classes and words then run over rows that lie together.
+    """
     kind = v.target(ids)
-    lp = _log_softmax(h @ p["wc"] + p["bc"])
-    every = np.arange(len(ids))
-    out = lp[every, kind]
+    order = np.argsort(kind, kind="stable")
+    cuts = np.searchsorted(kind[order], np.arange(v.classes + 1))
+    ht = np.ascontiguousarray(h[order].T)
+    x = p["wc"].T @ ht
+    x += p["bc"][:, None]
+    out = _softmax(x, kind[order], grads is not None)
     dh = None
     if grads is not None:
-        d = np.exp(lp)
-        d[every, kind] -= 1
-        grads["wc"], grads["bc"], dh = h.T @ d, d.sum(0), d @ p["wc"].T
+        grads["wc"], grads["bc"], dh = ht @ x.T, x.sum(1), p["wc"] @ x
         grads["ww"], grads["bw"] = np.zeros_like(p["ww"]), np.zeros_like(p["bw"])
-    order = np.argsort(kind, kind="stable")
-    cuts = np.searchsorted(kind[order], np.arange(v.classes + 1))
+    place = v.place[np.minimum(ids, v.size - 1)[order]]
     for k, (a, z) in enumerate(v.parts):
-        rows = order[cuts[k] : cuts[k + 1]]
-        if len(rows) and z - a > 1:
-            part, place = h[rows], v.place[ids[rows]]
-            lp = _log_softmax(part @ p["ww"][:, a:z] + p["bw"][a:z])
-            here = np.arange(len(rows))
-            out[rows] += lp[here, place]
+        i, j = cuts[k], cuts[k + 1]
+        if j > i and z - a > 1:
+            w, part = p["ww"][:, a:z], ht[:, i:j]
+            x = w.T @ part
+            x += p["bw"][a:z, None]
+            out[i:j] += _softmax(x, place[i:j], grads is not None)
             if grads is not None:
-                d = np.exp(lp)
-                d[here, place] -= 1
-                grads["ww"][:, a:z], grads["bw"][a:z] = part.T @ d, d.sum(0)
-                dh[rows] += d @ p["ww"][:, a:z].T
-    return out, dh
+                grads["ww"][:, a:z], grads["bw"][a:z] = part @ x.T, x.sum(1)
+                dh[:, i:j] += w @ x
+    back = np.empty_like(out)
+    back[order] = out
+    if grads is None:
+        return back, None
+    wide = np.empty_like(h, dtype=dh.dtype)
+    wide[order] = dh.T
+    return back, wide
 
 
 def train(p: dict, v: Vocabulary, texts: list[np.ndarray], rate: float = RATE) -> dict:
@@ -206,28 +221,32 @@ def train(p: dict, v: Vocabulary, texts: list[np.ndarray], rate: float = RATE) -
     h = np.zeros((width, UNITS), F32)
     for a in range(0, length, WINDOW):
         x, y = given[a : a + WINDOW], target[a : a + WINDOW]
+        goes_on = (x != 0)[:, :, None].astype(F32)  # 0 where the end came before: a new text
         steps, states = [], []
         for t in range(len(x)):
-            h = h * (x[t] != 0)[:, None].astype(F32)  # the end came before: a new text
+            h = h * goes_on[t]
             states.append(h)
             steps.append(_step(p, p["in"][x[t]], h))
             h = steps[-1][4]
         g: dict[str, np.ndarray] = {}
-        _, dout = _outputs(p, v, np.concatenate([s[4] for s in steps]), y.ravel(), g)
-        dout = dout.reshape(len(x), width, UNITS)
-        g["u"], g["bu"], din = np.zeros_like(p["u"]), np.zeros_like(p["bu"]), np.empty((len(x), width, 3 * UNITS), F32)
+        z, r, m, n, after = (np.stack(s) for s in zip(*steps))
+        before = np.stack(states)
+        _, dout = _outputs(p, v, after.reshape(-1, UNITS), y.ravel(), g)
+        dout = dout.reshape(after.shape)
+        # What a step's error is multiplied with, for all steps at once; the loop back through time does the rest.
+        by_n, by_z, by_r = (1 - z) * (1 - n * n), (before - n) * z * (1 - z), m * r * (1 - r)
+        du, dn = np.empty((*x.shape, 3 * UNITS), by_n.dtype), np.empty_like(by_n)
         dh = np.zeros_like(h)
         for t in reversed(range(len(x))):
-            z, r, m, n, _ = steps[t]
             dh = dh + dout[t]
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (states[t] - n) * z * (1 - z)
-            dr = dn * m * r * (1 - r)
-            du = np.concatenate([dz, dr, dn * r], 1)
-            din[t] = np.concatenate([dz, dr, dn], 1)
-            g["u"] += states[t].T @ du
-            g["bu"] += du.sum(0)
-            dh = (dh * z + du @ p["u"].T) * (x[t] != 0)[:, None]
+            np.multiply(dh, by_n[t], out=dn[t])
+            np.multiply(dh, by_z[t], out=du[t, :, :UNITS])
+            np.multiply(dn[t], by_r[t], out=du[t, :, UNITS : 2 * UNITS])
+            np.multiply(dn[t], r[t], out=du[t, :, 2 * UNITS :])
+            dh = (dh * z[t] + du[t] @ p["u"].T) * goes_on[t]
+        flat_du = du.reshape(-1, 3 * UNITS)
+        g["u"], g["bu"] = before.reshape(-1, UNITS).T @ flat_du, flat_du.sum(0)
+        din = np.concatenate([du[:, :, : 2 * UNITS], dn], 2)
         rows, which = np.unique(x.ravel(), return_inverse=True)
         order = np.argsort(which, kind="stable")
         gin = np.add.reduceat(din.reshape(-1, 3 * UNITS)[order], np.searchsorted(which[order], np.arange(len(rows))), axis=0)
