@@ -28,6 +28,10 @@ def run_chain(df: DataFrame, providers: list[tuple[str, Provider]], schema: str,
     """
     names = [x.split()[0].strip("`") for x in schema.split(",")]
 
+    def plain(frame: pd.DataFrame) -> pd.DataFrame:
+        """Strings as objects: joined frames may hold them in several pieces, which Arrow doesn't take."""
+        return frame.astype({c: object for c in frame.columns if pd.api.types.is_string_dtype(frame[c])})
+
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             left, why = pdf, pd.Series("no provider", index=pdf[key])
@@ -41,10 +45,10 @@ def run_chain(df: DataFrame, providers: list[tuple[str, Provider]], schema: str,
                     got = pd.DataFrame(columns=names)
                     why[left[key]] = f"{name}: {type(e).__name__}: {e}"
                 if len(got):
-                    yield got[names].assign(provider=name, error=None)
+                    yield plain(got[names].assign(provider=name, error=None))
                 left = left[~left[key].isin(got[key])]
             if len(left):
-                yield left[[key]].reindex(columns=names).assign(provider=None, error=why[left[key]].to_numpy())
+                yield plain(left[[key]].reindex(columns=names).assign(provider=None, error=why[left[key]].tolist()))
 
     return df.mapInPandas(work, f"{schema}, provider string, error string")
 

@@ -68,6 +68,15 @@ def distinct_share(w: Column, least: int = 10) -> Column:
     return F.when(F.size(w) < least, 0.0).otherwise(F.size(F.array_distinct(w)) / F.size(w))
 
 
+def repetition_ratio(c: Column, window: int = 10) -> Column:
+    """Share of sampled windows that occurred before, in one expression; for whole tables make the windows a column first."""
+    return repeated_share(sampled_windows(c, window))
+
+
+def unique_word_ratio(c: Column) -> Column:
+    return distinct_share(words(c))
+
+
 def number_sequence(c: Column) -> Column:
     rest = F.translate(c, " .\n", "")
     return (F.length(rest) > 0) & ((F.length(rest) - F.length(F.regexp_replace(rest, r"\p{Nd}+", ""))) / F.length(rest) > 0.8)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import validate
+from ..operators.batch import split_errors
 from ..operators.graph import masked
 
 
@@ -34,11 +37,11 @@ def aliases(spark: SparkSession, path: str) -> DataFrame:
     """(alias, canonical) of a flat JSON object; an absent file gives an empty table."""
     try:
         raw = spark.read.option("wholetext", True).text(path)
-        return raw.select(F.explode(F.from_json("value", "map<string,string>")).alias("alias", "canonical"))
-    except Exception as e:  # noqa: BLE001 only the missing path is forgiven
-        if "PATH_NOT_FOUND" not in str(e):
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], "alias string, canonical string")
+    return raw.select(F.explode(F.from_json("value", "map<string,string>")).alias("alias", "canonical"))
 
 
 def alerts(spark: SparkSession, path: str) -> DataFrame:
@@ -57,3 +60,44 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", by: tuple[str, ...] = ()) -> None:
     masked(df).write.mode(mode).partitionBy(*by).parquet(path)
+
+
+def append_alerts(checked: DataFrame, path: str, provider: str) -> None:
+    """Append the alerts of checked records (doc_id, is_valid, violations) to ``path``; where there is none, nothing is written."""
+    found = validate.alerts(checked, provider)
+    if not found.isEmpty():
+        found.write.mode("append").json(path)
+
+
+def write_stage(results: DataFrame, path: str) -> None:
+    """Append a stage's results and, beside them, its errors (rows with ``error``); a later success doesn't remove an error."""
+    good, bad = split_errors(results)
+    write_json(good, f"{path}/results", "append")
+    write_json(bad, f"{path}/errors", "append")
+
+
+def write_groups(groups: DataFrame, path: str, strategy: str = "union") -> None:
+    """Groups of documents (seed, doc_id) as one line each, and a summary with total_groups and total_documents."""
+    listed = groups.groupBy(F.col("seed").alias("group_id")).agg(F.array_sort(F.collect_list("doc_id")).alias("documents"))
+    write_json(listed.withColumn("merge_strategy", F.lit(strategy)), f"{path}/groups")
+    summary = groups.agg(F.count_distinct("seed").alias("total_groups"), F.count(F.lit(1)).alias("total_documents"))
+    summary.write.mode("overwrite").json(f"{path}/summary")
+
+
+def groups(spark: SparkSession, path: str, kind: str = "string") -> DataFrame:
+    """group_id, documents, merge_strategy as ``write_groups`` left them; a missing strategy is union."""
+    read = spark.read.schema(f"group_id {kind}, documents array<{kind}>, merge_strategy string").json(f"{path}/groups")
+    return read.withColumn("merge_strategy", F.coalesce("merge_strategy", F.lit("union")))
+
+
+def write_merged(merged: DataFrame, path: str) -> None:
+    """Merged texts, one folder a group, and a summary of how many there are and what they fill."""
+    masked(merged).write.mode("overwrite").partitionBy("group").json(f"{path}/texts")
+    merged.agg(F.count(F.lit(1)).alias("merged"), F.coalesce(F.sum("total_fillins"), F.lit(0)).alias("total_fillins")).write.mode("overwrite").json(f"{path}/summary")
+
+
+def write_vectors(vectors: DataFrame, path: str) -> int:
+    """Append vectors (label, key, embedding) to the table at ``path``; how many there were."""
+    counted = Observation()
+    vectors.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy("label").parquet(path)
+    return counted.get["n"]
