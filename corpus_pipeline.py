@@ -1,8 +1,14 @@
 """A corpus pipeline over documents: toxicity, exact dedup, near-dedup, mixing, BPE encoding.
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns the columns
-of documents, but for the last, which returns the encoded documents. Stages behave alike at every size;
-null texts, repeated rows and empty tables are handled as the operators state.
+of documents, but for the last, which returns the encoded documents. Stages behave alike at every size.
+
+Defined results, for every stage: a null text counts as empty; texts of any length are read whole; an empty
+table gives an empty result; other columns come along as they are, whatever their names. Repeated rows
+stay as many as they are in toxicity, mixing and BPE; the two dedups leave one of them. Ties: in toxicity a
+score of exactly 0.7 is toxic; in exact dedup, of rows equal in text and doc_id any one stays, they being
+equal in what is compared; in near-dedup a similarity of exactly 0.8 joins, and of the least doc_id's
+rows one stays; in mixing equal ranks are taken in the order of rows.
 """
 
 from __future__ import annotations
@@ -12,7 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseloom.llm import bpe, exact_dedup, mixing, near_dedup, toxicity
-from caseloom.llm.common import pack, settle, shared_dir, table
+from caseloom.llm.common import pack, settle, shared_dir, sweep, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +62,8 @@ STAGES = [
     ("bpe", encode),
 ]
 
-#: SQL can express neither a trained classifier nor consistent sampling; tests hold run() against plain versions of the stages.
+#: SQL can express neither a trained classifier nor consistent sampling; a test holds run() against plain versions of the stages, the
+#: trained weights being those of the operator.
 ORACLE_SQL = None
 
 
@@ -65,5 +72,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = shared_dir(spark)
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES[:-1]):
-        docs = settle(stage(spark, docs, sf_dir), f"{work}/{k}")
+        with sweep(spark):  # what a stage's operators wrote goes when its result is written
+            docs = settle(stage(spark, docs, sf_dir), f"{work}/{k}")
     return STAGES[-1][1](spark, docs, sf_dir)
