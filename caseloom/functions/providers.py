@@ -48,7 +48,7 @@ def run_chain(df: DataFrame, providers: list[tuple[str, Provider]], schema: str,
                     yield plain(got[names].assign(provider=name, error=None))
                 left = left[~left[key].isin(got[key])]
             if len(left):
-                yield plain(left[[key]].reindex(columns=names).assign(provider=None, error=why[left[key]].tolist()))
+                yield plain(left[[key]].assign(**{n: None for n in names if n != key}, provider=None, error=why[left[key]].tolist())[[*names, "provider", "error"]])
 
     return df.mapInPandas(work, f"{schema}, provider string, error string")
 
