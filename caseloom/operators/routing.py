@@ -57,6 +57,13 @@ def results(read: DataFrame, order: str = "text_first") -> DataFrame:
     return read.select("doc_id", "track", engine.alias("engine"), text.alias("text"), F.when(track == "photograph", 0.85).otherwise(trust).alias("confidence"))
 
 
+def block_prompts(docs: DataFrame, instructions: dict[str, str], template: str = "%s\n\n%s") -> DataFrame:
+    """doc_id, place, kind, prompt of the blocks of documents (doc_id, blocks: list of structs block_type, text), in order."""
+    b = docs.select("doc_id", F.posexplode("blocks").alias("place", "b"))
+    kind = F.col("b.block_type")
+    return b.select("doc_id", "place", T.block_kind(kind).alias("kind"), T.block_prompt(F.col("b.text"), kind, instructions, template).alias("prompt"))
+
+
 def triage_manifest(manifest: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(routes, summary) of manifest entries (doc_id, path) and of the files that exist (path, text, has_fonts).
 

@@ -124,6 +124,14 @@ def triage_summary(spark, d):
     return routing.triage_manifest(docs.select("doc_id", F.when(F.col("doc_id") % 11 != 0, path).alias("path")), files)[1]
 
 
+@query("""SELECT conv_id AS doc_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INTEGER AS place, role AS kind, md5(CASE role WHEN 'user' THEN 'Read closely.' WHEN 'system' THEN 'Keep the order.' ELSE '' END || chr(10) || chr(10) || text) AS prompt_md5 FROM conversations""")
+def block_prompts(spark, d):
+    """Turns stand for a document's blocks, roles for their types."""
+    block = F.struct("turn", F.concat(F.lit("BlockTypes."), F.col("role")).alias("block_type"), "text")
+    docs = _t(spark, d, "conversations").groupBy(F.col("conv_id").alias("doc_id")).agg(F.array_sort(F.collect_list(block)).alias("blocks"))
+    return routing.block_prompts(docs, {"user": "Read closely.", "system": "Keep the order."}).select("doc_id", "place", "kind", F.md5("prompt").alias("prompt_md5"))
+
+
 # A page of 40 x 30 pixels for each nation: one dark box whose place and size follow from the key.
 _BOXES = "SELECT n_nationkey AS doc_id, n_nationkey % 8 AS x, n_nationkey % 5 AS y, 8 + n_nationkey % 20 AS w, 6 + n_nationkey % 9 AS h FROM nation"
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import validate
-from ..operators.batch import split_errors
+from ..operators.batch import split_ceil, split_errors
 from ..operators.graph import masked
 
 
@@ -101,3 +104,34 @@ def write_vectors(vectors: DataFrame, path: str) -> int:
     counted = Observation()
     vectors.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy("label").parquet(path)
     return counted.get["n"]
+
+
+def save_aliases(table: DataFrame, path: str) -> None:
+    """The whole alias table as one JSON object, over what was there; it is a driver-sized table, as ``aliases`` reads it."""
+    entries = F.array_sort(F.collect_list(F.struct("alias", "canonical")))
+    table.agg(F.to_json(F.map_from_entries(entries)).alias("value")).write.mode("overwrite").text(path)
+
+
+def write_triage(routes: DataFrame, path: str, splits: int = 1) -> None:
+    """Triage results by route and split: each route in contiguous parts of equal size, the last one perhaps short, empty ones absent."""
+    for route in ("text", "image"):
+        part = routes.where(F.col("route") == route)
+        n = part.count()
+        if n:
+            split_ceil(part, splits, n).withColumnRenamed("chunk", "split").write.mode("overwrite").partitionBy("split").json(f"{path}/{route}")
+
+
+def page_texts(spark: SparkSession, documents: DataFrame, read: Callable[[bytes], list[str]]) -> DataFrame:
+    """doc_id, pages, error of documents (doc_id, content): ``read`` gives a document's page texts; one that fails has an error and no pages."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            rows = []
+            for doc, content in zip(pdf["doc_id"], pdf["content"]):
+                try:
+                    rows.append((doc, [p or "" for p in read(bytes(content))], None))
+                except Exception as e:  # noqa: BLE001 a document that can't be read is data, not a failure of the job
+                    rows.append((doc, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=["doc_id", "pages", "error"], dtype=object)
+
+    return documents.select("doc_id", "content").mapInPandas(run, "doc_id string, pages array<string>, error string")

@@ -66,6 +66,21 @@ def test_stage_groups_and_merged_sinks(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "m" / "texts")).select("merged_text").collect() == [("text",)]
 
 
+def test_alias_triage_and_page_text_files(spark, tmp_path):
+    table = spark.createDataFrame([("b", "B"), ("a", "A")], "alias string, canonical string")
+    for _ in range(2):
+        files.save_aliases(table, str(tmp_path / "aliases"))
+    assert sorted(map(tuple, files.aliases(spark, str(tmp_path / "aliases")).collect())) == [("a", "A"), ("b", "B")]
+    routes = spark.createDataFrame([(f"d{k}", "text" if k < 5 else "image") for k in range(6)], "doc_id string, route string")
+    files.write_triage(routes, str(tmp_path / "t"), 2)
+    assert {(r.split, r["count"]) for r in spark.read.json(str(tmp_path / "t" / "text")).groupBy("split").count().collect()} == {(0, 3), (1, 2)}
+    assert spark.read.json(str(tmp_path / "t" / "image")).count() == 1
+    docs = spark.createDataFrame([("a", bytearray(b"one\ftwo")), ("b", bytearray(b"\xff"))], "doc_id string, content binary")
+    got = {r.doc_id: (r.pages, (r.error or "")[:18]) for r in files.page_texts(spark, docs, lambda data: data.decode().split("\f")).collect()}
+    assert got == {"a": (["one", "two"], ""), "b": (None, "UnicodeDecodeError")}
+    assert files.write_vectors(spark.createDataFrame([("P", "a", [1.0])], "label string, key string, embedding array<double>"), str(tmp_path / "v")) == 1
+
+
 def test_first_write_and_manifest_merge(spark):
     old = spark.createDataFrame([("a", "x")], "doc_id string, text string")
     new = spark.createDataFrame([("a", "y"), ("b", ""), ("c", "z"), ("d", None)], "doc_id string, text string")
