@@ -26,28 +26,34 @@ def split_errors(results: DataFrame) -> tuple[DataFrame, DataFrame]:
     return results.where("error IS NULL").drop("error"), results.where("error IS NOT NULL")
 
 
-def _numbered(df: DataFrame, order: str) -> DataFrame:
-    """A 0-based position in the whole order: range partitions, each numbered alone, shifted by those before it."""
-    ranged = df.repartitionByRange(F.col(order)).withColumn("_p", F.spark_partition_id())
-    local = ranged.withColumn("_i", F.row_number().over(W.partitionBy("_p").orderBy(order)))
-    sizes = local.groupBy("_p").count()
-    shift = sizes.select("_p", F.coalesce(F.sum("count").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_s"))
-    return local.join(F.broadcast(shift), "_p").withColumn("_k", F.col("_s") + F.col("_i") - 1).drop("_p", "_i", "_s")
-
-
-def split_even(df: DataFrame, n: int, total: int, order: str = "doc_id") -> DataFrame:
+def _numbered(df: DataFrame, order: str, settle=None) -> DataFrame:
+    """A 0-based position in the whole order: sorted range partitions, each numbered alone, shifted by those before it.
+
+    ``settle`` may write the numbered ranges to shared storage, so that positions and shifts come from the
+    same ranges even when tasks are repeated.
+    """
+    ranged = df.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("_m", F.monotonically_increasing_id())
+    ranged = settle(ranged) if settle else ranged
+    part = F.shiftright("_m", 33)
+    sizes = ranged.groupBy(part.alias("_p")).count()
+    shift = sizes.select("_p", F.coalesce(F.sum("count").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_s"))  # a row a partition
+    place = F.col("_s") + F.col("_m").bitwiseAND((1 << 33) - 1)
+    return ranged.join(F.broadcast(shift), part == F.col("_p")).withColumn("_k", place).drop("_p", "_m", "_s")
+
+
+def split_even(df: DataFrame, n: int, total: int, order: str = "doc_id", settle=None) -> DataFrame:
     """``n`` contiguous parts, the remainder spread over the first, as ``chunk``."""
     size, extra = divmod(total, n)
     k = F.col("_k")
     big = extra * (size + 1)
     part = F.when(k < big, F.floor(k / (size + 1))).otherwise(extra + F.floor((k - big) / max(size, 1)))
-    return _numbered(df, order).withColumn("chunk", part.cast("long")).drop("_k")
+    return _numbered(df, order, settle).withColumn("chunk", part.cast("long")).drop("_k")
 
 
-def split_ceil(df: DataFrame, n: int, total: int, order: str = "doc_id") -> DataFrame:
+def split_ceil(df: DataFrame, n: int, total: int, order: str = "doc_id", settle=None) -> DataFrame:
     """Contiguous parts of ceil(total / n); the last may be short or absent."""
-    return _numbered(df, order).withColumn("chunk", F.floor(F.col("_k") / max(1, -(-total // n))).cast("long")).drop("_k")
+    return _numbered(df, order, settle).withColumn("chunk", F.floor(F.col("_k") / max(1, -(-total // n))).cast("long")).drop("_k")
 
 
-def split_round_robin(df: DataFrame, n: int, order: str = "doc_id") -> DataFrame:
-    return _numbered(df, order).withColumn("chunk", (F.col("_k") % n).cast("long")).drop("_k")
+def split_round_robin(df: DataFrame, n: int, order: str = "doc_id", settle=None) -> DataFrame:
+    return _numbered(df, order, settle).withColumn("chunk", (F.col("_k") % n).cast("long")).drop("_k")

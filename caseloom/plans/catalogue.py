@@ -118,9 +118,15 @@ def exact_dup_groups(spark, d):
     return _prints(spark, d).where("text_hash IS NOT NULL").groupBy("text_hash").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-@query()
+_LIKE = "(coalesce(x.h = l[1].h, false) OR (x.s > 0 AND l[1].s > 0 AND least(x.s, l[1].s)::DOUBLE / greatest(x.s, l[1].s) > 0.9))"
+
+
+@query(_PRINT.replace("WITH f AS", "WITH RECURSIVE f AS", 1) + f""", b AS (SELECT page_count, list({{'d': doc_id, 's': size, 'h': text_hash}} ORDER BY doc_id) AS l FROM fp GROUP BY page_count),
+g AS (SELECT page_count, NULL::BIGINT AS seed, NULL::BIGINT[] AS docs, l FROM b UNION ALL
+ SELECT page_count, l[1].d, list_transform(list_filter(l, lambda x: x.d = l[1].d OR {_LIKE}), lambda x: x.d), list_filter(l[2:], lambda x: NOT {_LIKE}) FROM g WHERE len(l) > 0)
+SELECT seed, unnest(docs) AS doc_id FROM g WHERE len(docs) > 1""")
 def near_dup_groups(spark, d):
-    """By the whole rule: only page counts must be equal, not language and source as near_dup_pairs' SQL has it."""
+    """Greedy groups by the whole rule: only page counts must be equal."""
     return duplicates.similar_groups(_prints(spark, d))
 
 
@@ -178,15 +184,6 @@ def last_writer_wins(spark, d):
     return graph.last_writer(o, ["o_custkey"], ["priority", "closed_status"], ["o_orderdate", "o_orderkey"])
 
 
-@query("SELECT a.user_id AS person_a, b.user_id AS person_b, a.event_type AS nature, count(*) AS n FROM events a JOIN events b ON a.event_type = b.event_type AND date_trunc('hour', a.ts) = date_trunc('hour', b.ts) AND a.user_id < b.user_id GROUP BY 1, 2, 3")
-def association_edges(spark, d):
-    """People with events of a type in one hour: sums per hour first, so pairs are of people, not of events."""
-    e = _t(spark, d, "events").groupBy("event_type", F.date_trunc("hour", "ts").alias("hour"), "user_id").agg(F.count(F.lit(1)).alias("n"))
-    a, b = e.alias("a"), e.alias("b")
-    j = a.join(b, (F.col("a.event_type") == F.col("b.event_type")) & (F.col("a.hour") == F.col("b.hour")) & (F.col("a.user_id") < F.col("b.user_id")))
-    return j.groupBy(F.col("a.user_id").alias("person_a"), F.col("b.user_id").alias("person_b"), F.col("a.event_type").alias("nature")).agg(F.sum(F.col("a.n") * F.col("b.n")).alias("n"))
-
-
 @query("SELECT c_custkey, coalesce(n_name, v) AS name FROM (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN lower(n_name) WHEN 1 THEN n_name ELSE 'x' || n_name END AS v FROM customer JOIN nation ON c_nationkey = n_nationkey) LEFT JOIN nation ON lower(n_name) = v")
 def alias_resolution(spark, d):
     nation = _t(spark, d, "nation")
@@ -207,21 +204,25 @@ def resume_remaining(spark, d):
     return batch.remaining(_t(spark, d, "documents").select("doc_id"), _t(spark, d, "labels"), "doc_id")
 
 
+def _settle(spark):
+    return lambda df: streaming.settle(df, streaming.work_folder(spark))
+
+
 @query("SELECT doc_id, (ntile(7) OVER (ORDER BY doc_id) - 1)::BIGINT AS chunk FROM documents")
 def split_ntile(spark, d):
     docs = _t(spark, d, "documents").select("doc_id")
-    return batch.split_even(docs, 7, docs.count())
+    return batch.split_even(docs, 7, docs.count(), settle=_settle(spark))
 
 
 @query("SELECT doc_id, ((row_number() OVER (ORDER BY doc_id) - 1) // ceil((SELECT count(*) FROM documents) / 7.0)::BIGINT)::BIGINT AS chunk FROM documents")
 def split_ceil(spark, d):
     docs = _t(spark, d, "documents").select("doc_id")
-    return batch.split_ceil(docs, 7, docs.count())
+    return batch.split_ceil(docs, 7, docs.count(), settle=_settle(spark))
 
 
 @query("SELECT doc_id, ((row_number() OVER (ORDER BY doc_id) - 1) % 7)::BIGINT AS chunk FROM documents")
 def split_round_robin(spark, d):
-    return batch.split_round_robin(_t(spark, d, "documents").select("doc_id"), 7)
+    return batch.split_round_robin(_t(spark, d, "documents").select("doc_id"), 7, settle=_settle(spark))
 
 
 @query("SELECT doc_id, md5(lang || ': ' || text) AS text_md5 FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM embeddings) AND trim(text) <> ''")

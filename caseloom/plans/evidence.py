@@ -83,6 +83,12 @@ def graph_edges(spark, d):
     return _ingested(spark, d)[1].select(*graph.EDGE_KEY, _shown(F.col("props")).alias("props"))
 
 
+@query(_RECORDS + "SELECT src_key AS person_a, dst_key AS person_b, props FROM edges WHERE rel = 'ASSOCIATED_WITH'")
+def association_edges(spark, d):
+    """The directed associations that the records state; none is made up from what merely occurs together."""
+    return _ingested(spark, d)[1].where("rel = 'ASSOCIATED_WITH'").select(F.col("src_key").alias("person_a"), F.col("dst_key").alias("person_b"), _shown(F.col("props")).alias("props"))
+
+
 @query(_RECORDS + "SELECT doc_id, nodes, rels FROM stats")
 def ingest_stats(spark, d):
     return _ingested(spark, d)[2]
