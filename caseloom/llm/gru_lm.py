@@ -48,12 +48,16 @@ WINDOW, STREAMS, RATE = 32, 128, 0.2
 SLOTS = 256
 #: Bytes of text scored at a time.
 SLICE = 10_000_000
+#: Bytes of text cut into words at a time: what is made of them stays in a core's cache.
+CHUNK = 1 << 17
+#: Columns of class logits made at a time: they stay in a core's cache.
+BLOCK = 1024
 F32 = np.float32
 
 
 def tokens(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first row, end row, hash, tail class, row) of the words of chunks of texts."""
-    for i, j, data, off in textkit.chunks(column):
+    for i, j, data, off in textkit.chunks(column, CHUNK):
         s, e, row = textkit.spans(data, off)
         low = textkit.LOWER[data]
         last, before = low[e - 1].astype(np.int64), np.where(e - s > 1, low[np.maximum(e - 2, 0)], 0).astype(np.int64)
@@ -142,75 +146,122 @@ class Vocabulary:
         }
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    x *= F32(0.5)
-    np.tanh(x, out=x)
-    x += F32(1)
-    x *= F32(0.5)
-    return x
-
-
-def _step(p: dict, a: np.ndarray, h: np.ndarray):
-    m = h @ p["u"]
-    m += p["bu"]
-    zr = _sigmoid(a[:, : 2 * UNITS] + m[:, : 2 * UNITS])
-    z, r = zr[:, :UNITS], zr[:, UNITS:]
-    m = m[:, 2 * UNITS :]
-    n = np.tanh(a[:, 2 * UNITS :] + r * m)
-    return z, r, m, n, n + z * (h - n)
-
-
-def _softmax(x: np.ndarray, picked: np.ndarray, gradient: bool) -> np.ndarray:
-    """Log-probability of the picked row of each column of logits; with ``gradient`` x becomes the gradient of its negative."""
-    every = np.arange(x.shape[1])
-    x -= x.max(0)
-    out = x[picked, every]
+class Room:
+    """Arrays by name that are used again and again, so that they stay in the caches and cost no page faults."""
+
+    def __init__(self):
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, shape: tuple[int, ...], dtype) -> np.ndarray:
+        size = math.prod(shape)
+        held = self.held.get(name)
+        if held is None or held.size < size or held.dtype != dtype:
+            held = self.held[name] = np.empty(size, dtype)
+        return held[:size].reshape(shape)
+
+
+def _gates(p: dict, rows: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Weights by state, the biases as a last column, and by the token before (all or ``rows``). What goes into the gates is negated: sigmoid(x) = 1 / (1 + exp(-x))."""
+    u = np.concatenate([p["u"].T, p["bu"][:, None]], 1)
+    u[: 2 * UNITS] *= -1
+    given = p["in"].copy() if rows is None else p["in"][rows]
+    given[:, : 2 * UNITS] *= -1
+    return u, given
+
+
+def _step(u: np.ndarray, a: np.ndarray, h: np.ndarray, m: np.ndarray, n: np.ndarray, after: np.ndarray) -> None:
+    """One step of all streams, which are columns. ``h`` has a last row of ones; ``m`` (gates, the state's share of the new one), ``n`` and ``after`` are written."""
+    np.matmul(u, h, out=m)
+    zr = m[: 2 * UNITS]
+    zr += a[: 2 * UNITS]
+    np.exp(zr, out=zr)
+    zr += 1
+    np.divide(1, zr, out=zr)
+    np.multiply(zr[UNITS:], m[2 * UNITS :], out=n)
+    n += a[2 * UNITS :]
+    np.tanh(n, out=n)
+    np.subtract(h[:UNITS], n, out=after)
+    after *= zr[:UNITS]
+    after += n
+
+
+def _by_word(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The different words, most frequent first; each token's place among them; an order of tokens, first each word's first one, then the second ones and so on; how many there are of each."""
+    counts = np.bincount(words)
+    rows = np.argsort(-counts, kind="stable")[: np.count_nonzero(counts)]
+    place = np.empty(len(counts), np.uint16)
+    place[rows] = np.arange(len(rows))
+    which = place[words]
+    order = np.argsort(which, kind="stable")
+    counts = counts[rows]
+    nth = np.arange(len(words)) - np.repeat(np.cumsum(counts) - counts, counts)
+    return rows, which, order[np.argsort(nth.astype(np.uint16), kind="stable")], np.bincount(nth)
+
+
+def _softmax(x: np.ndarray, picked: np.ndarray, gradient: bool, shift: bool) -> np.ndarray:
+    """Log-probability of the picked row of each column of logits; with ``gradient`` x becomes the gradient of its negative. ``shift``: their exponentials might overflow."""
+    if shift:
+        x -= x.max(0)
+    flat, at = x.reshape(-1), picked * x.shape[1] + np.arange(x.shape[1])
+    out = flat[at]
     np.exp(x, out=x)
     total = x.sum(0)
     if gradient:
-        x /= total
-        x[picked, every] -= 1
+        x *= 1 / total
+        flat[at] -= 1
     return out - np.log(total)
 
 
-def _outputs(p: dict, v: Vocabulary, h: np.ndarray, ids: np.ndarray, grads: dict | None = None):
+def _outputs(p: dict, v: Vocabulary, h: np.ndarray, ids: np.ndarray, grads: dict | None = None, room: Room | None = None):
     """Natural log-probability of each token's class and head word; with ``grads`` also the gradient by h of their sum's negative.
 
-    Tokens are columns: sums over classes and words then run over rows that lie together.
+    Tokens are columns: sums over classes and words then run over rows that lie together. A last row of ones takes the biases.
     """
+    room = room or Room()
     kind = v.target(ids)
-    order = np.argsort(kind, kind="stable")
-    cuts = np.searchsorted(kind[order], np.arange(v.classes + 1))
-    ht = np.ascontiguousarray(h[order].T)
-    x = p["wc"].T @ ht
-    x += p["bc"][:, None]
-    out = _softmax(x, kind[order], grads is not None)
-    dh = None
+    order = np.argsort(kind.astype(np.uint16), kind="stable")
+    kind = kind[order]
+    cuts = np.searchsorted(kind, np.arange(v.classes + 1))
+    n, dtype = len(ids), h.dtype
+    ht = room("ht", (UNITS + 1, n), dtype)
+    np.take(h.T, order, axis=1, out=ht[:UNITS], mode="clip")
+    ht[UNITS] = 1
+    wc, ww = np.concatenate([p["wc"], p["bc"][None]]), np.concatenate([p["ww"], p["bw"][None]])
+    out = np.empty(n, np.result_type(dtype, wc.dtype))
+    # No logit can pass this bound; sums of exponentials up to 80 still fit a float.
+    shift = max(np.abs(ht).max(initial=1) * np.abs(w).sum(0).max() for w in (wc, ww)) > 80
+    gc = gw = dh = None
     if grads is not None:
-        grads["wc"], grads["bc"], dh = ht @ x.T, x.sum(1), p["wc"] @ x
-        grads["ww"], grads["bw"] = np.zeros_like(p["ww"]), np.zeros_like(p["bw"])
+        gc, gw, dh = np.zeros_like(wc), np.zeros_like(ww), room("dh", (UNITS, n), out.dtype)
+    for i in range(0, n, BLOCK):
+        j = min(n, i + BLOCK)
+        part = ht[:, i:j]
+        x = np.matmul(wc.T, part, out=room("logits", (wc.shape[1], j - i), out.dtype))
+        out[i:j] = _softmax(x, kind[i:j], grads is not None, shift)
+        if grads is not None:
+            gc += (x @ part.T).T
+            np.matmul(wc[:UNITS], x, out=dh[:, i:j])
     place = v.place[np.minimum(ids, v.size - 1)[order]]
     for k, (a, z) in enumerate(v.parts):
         i, j = cuts[k], cuts[k + 1]
         if j > i and z - a > 1:
-            w, part = p["ww"][:, a:z], ht[:, i:j]
-            x = w.T @ part
-            x += p["bw"][a:z, None]
-            out[i:j] += _softmax(x, place[i:j], grads is not None)
+            w, part = ww[:, a:z], ht[:, i:j]
+            x = np.matmul(w.T, part, out=room("logits", (z - a, j - i), out.dtype))
+            out[i:j] += _softmax(x, place[i:j], grads is not None, shift)
             if grads is not None:
-                grads["ww"][:, a:z], grads["bw"][a:z] = part @ x.T, x.sum(1)
-                dh[:, i:j] += w @ x
-    back = np.empty_like(out)
-    back[order] = out
+                gw[:, a:z] = (x @ part.T).T
+                dh[:, i:j] += w[:UNITS] @ x
+    back = np.empty_like(order)
+    back[order] = np.arange(n)
     if grads is None:
-        return back, None
-    wide = np.empty_like(h, dtype=dh.dtype)
-    wide[order] = dh.T
-    return back, wide
+        return out[back], None
+    grads["wc"], grads["bc"], grads["ww"], grads["bw"] = gc[:UNITS], gc[UNITS], gw[:UNITS], gw[UNITS]
+    return out[back], np.take(dh, back, axis=1, out=room("wide", dh.shape, dh.dtype), mode="clip").T
 
 
+@np.errstate(over="ignore")  # a gate that is shut
 def train(p: dict, v: Vocabulary, texts: list[np.ndarray], rate: float = RATE) -> dict:
-    """One pass of Adagrad over texts (token ids, each ending with the end)."""
+    """One pass of Adagrad over texts (token ids, each ending with the end). Streams are columns."""
     p = {k: x.copy() for k, x in p.items()}
     seen = {k: np.full(x.shape, 0.1, F32) for k, x in p.items()}
     flat = np.concatenate(texts).astype(np.int64)
@@ -218,49 +269,77 @@ def train(p: dict, v: Vocabulary, texts: list[np.ndarray], rate: float = RATE) -
     length = len(flat) // width
     target = flat[: width * length].reshape(width, length).T
     given = np.concatenate([np.zeros((1, width), np.int64), target[:-1]])
-    h = np.zeros((width, UNITS), F32)
-    for a in range(0, length, WINDOW):
-        x, y = given[a : a + WINDOW], target[a : a + WINDOW]
-        goes_on = (x != 0)[:, :, None].astype(F32)  # 0 where the end came before: a new text
-        steps, states = [], []
-        for t in range(len(x)):
-            h = h * goes_on[t]
-            states.append(h)
-            steps.append(_step(p, p["in"][x[t]], h))
-            h = steps[-1][4]
+    room, dtype = Room(), p["u"].dtype
+    carried = np.zeros((UNITS, width), dtype)
+    for i in range(0, length, WINDOW):
+        x, y = given[i : i + WINDOW], target[i : i + WINDOW]
+        steps = len(x)
+        goes_on = (x != 0).astype(dtype)  # 0 where the end came before: a new text
+        rows, which, order, many = _by_word(x.ravel())
+        u, table = _gates(p, rows)
+        a, m, before, n, after = (room(k, (steps, size, width), dtype) for k, size in (("a", 3 * UNITS), ("m", 3 * UNITS), ("before", UNITS + 1), ("n", UNITS), ("after", UNITS)))
+        np.copyto(a, np.take(table, which.reshape(x.shape), axis=0, out=room("rows", (*x.shape, 3 * UNITS), dtype), mode="clip").transpose(0, 2, 1))
+        before[:, UNITS] = 1
+        for t in range(steps):
+            np.multiply(after[t - 1] if t else carried, goes_on[t], out=before[t, :UNITS])
+            _step(u, a[t], before[t], m[t], n[t], after[t])
+        carried = after[-1].copy()
         g: dict[str, np.ndarray] = {}
-        z, r, m, n, after = (np.stack(s) for s in zip(*steps))
-        before = np.stack(states)
-        _, dout = _outputs(p, v, after.reshape(-1, UNITS), y.ravel(), g)
-        dout = dout.reshape(after.shape)
+        columns = room("columns", (UNITS, steps, width), dtype)
+        np.copyto(columns, after.transpose(1, 0, 2))
+        dout = _outputs(p, v, columns.reshape(UNITS, -1).T, y.ravel(), g, room)[1].T.reshape(columns.shape)
         # What a step's error is multiplied with, for all steps at once; the loop back through time does the rest.
-        by_n, by_z, by_r = (1 - z) * (1 - n * n), (before - n) * z * (1 - z), m * r * (1 - r)
-        du, dn = np.empty((*x.shape, 3 * UNITS), by_n.dtype), np.empty_like(by_n)
-        dh = np.zeros_like(h)
-        for t in reversed(range(len(x))):
-            dh = dh + dout[t]
-            np.multiply(dh, by_n[t], out=dn[t])
-            np.multiply(dh, by_z[t], out=du[t, :, :UNITS])
-            np.multiply(dn[t], by_r[t], out=du[t, :, UNITS : 2 * UNITS])
-            np.multiply(dn[t], r[t], out=du[t, :, 2 * UNITS :])
-            dh = (dh * z[t] + du[t] @ p["u"].T) * goes_on[t]
-        flat_du = du.reshape(-1, 3 * UNITS)
-        g["u"], g["bu"] = before.reshape(-1, UNITS).T @ flat_du, flat_du.sum(0)
-        din = np.concatenate([du[:, :, : 2 * UNITS], dn], 2)
-        rows, which = np.unique(x.ravel(), return_inverse=True)
-        order = np.argsort(which, kind="stable")
-        gin = np.add.reduceat(din.reshape(-1, 3 * UNITS)[order], np.searchsorted(which[order], np.arange(len(rows))), axis=0)
+        z, r = m[:, :UNITS], m[:, UNITS : 2 * UNITS]
+        by_n, by_z, by_r = (room(k, n.shape, dtype) for k in ("by_n", "by_z", "by_r"))
+        np.subtract(before[:, :UNITS], n, out=by_z)
+        by_z *= z
+        np.multiply(n, n, out=by_n)
+        np.subtract(1, by_n, out=by_n)
+        np.subtract(1, z, out=n)
+        by_n *= n
+        by_z *= n
+        np.subtract(1, r, out=by_r)
+        by_r *= r
+        by_r *= m[:, 2 * UNITS :]
+        # Errors of the state's share of the new one, before the two gates, and before the new one.
+        d = room("d", (steps, 4 * UNITS, width), dtype)
+        din = room("rows", (steps, width, 3 * UNITS), dtype)
+        turned = np.roll(p["u"], UNITS, 1)
+        dh, more = np.zeros((UNITS, width), dtype), np.empty((UNITS, width), dtype)
+        for t in reversed(range(steps)):
+            dm, dz, dr, dn = d[t].reshape(4, UNITS, width)
+            dh += dout[:, t]
+            np.multiply(dh, by_z[t], out=dz)
+            np.multiply(dh, by_n[t], out=dn)
+            np.multiply(dn, by_r[t], out=dr)
+            np.multiply(dn, r[t], out=dm)
+            np.matmul(turned, d[t, : 3 * UNITS], out=more)
+            dh *= z[t]
+            dh += more
+            dh *= goes_on[t]
+            np.copyto(din[t], d[t, UNITS:].T)
+        gu = np.roll(np.matmul(d[:, : 3 * UNITS], before.transpose(0, 2, 1)).sum(0), -UNITS, 0).T
+        g["u"], g["bu"] = gu[:UNITS], gu[UNITS]
+        din = np.take(din.reshape(-1, 3 * UNITS), order, axis=0, out=room("a", (len(order), 3 * UNITS), dtype), mode="clip")
+        gin, j = din[: many[0]], many[0]
+        for k in many[1:]:
+            gin[:k] += din[j : j + k]
+            j += k
         scale = F32(1 / width)
-        for k, d in g.items():
-            d = d * scale
-            seen[k] += d * d
-            p[k] -= F32(rate) * d / np.sqrt(seen[k])
-        gin *= scale
-        seen["in"][rows] += gin * gin
-        p["in"][rows] -= F32(rate) * gin / np.sqrt(seen["in"][rows])
+        g["in"] = gin
+        for k, e in g.items():
+            e *= scale
+            at = rows if k == "in" else slice(None)
+            total = seen[k][at]
+            total += e * e
+            seen[k][at] = total
+            e *= F32(rate)
+            e /= np.sqrt(total)
+            p[k][at] -= e
     return p
 
 
+@np.errstate(over="ignore")
 def log_likelihoods(p: dict, v: Vocabulary, flat: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Of each text (token ids up to its entry in ``ends``) the sum of natural log-probabilities of classes and head words."""
     out = np.zeros(len(ends))
@@ -271,29 +350,48 @@ def log_likelihoods(p: dict, v: Vocabulary, flat: np.ndarray, ends: np.ndarray)
     queue = np.argsort(starts - ends, kind="stable")  # longest first
     taken = min(SLOTS, len(queue))
     doc = queue[:taken].copy()
-    at, h = starts[doc].copy(), np.zeros((taken, UNITS), F32)
+    room, dtype = Room(), p["u"].dtype
+    u, table = _gates(p)
+    at, h = starts[doc].copy(), np.zeros((UNITS, taken), dtype)
     base = np.arange(WINDOW)[:, None]
+    # States wait for their outputs until there are enough of them, however few texts are left.
+    held, waiting, size = np.empty((UNITS, 2 * WINDOW * SLOTS), dtype), [], 0
+
+    def give():
+        of, ids = (np.concatenate(k) for k in zip(*waiting))
+        lp, _ = _outputs(p, v, held[:, :size].T, ids, room=room)
+        np.add(out, np.bincount(of, lp, len(out)), out=out)
+
     while len(doc):
         place = at[None] + base
         live = place < ends[doc][None]
-        steps = int(live.any(1).sum())
-        place = np.minimum(place[:steps], len(flat) - 1)
-        a = p["in"][given[place]]
-        hs = np.empty((steps, len(doc), UNITS), F32)
+        steps, width = int(live.any(1).sum()), len(doc)
+        place, live = np.minimum(place[:steps], len(flat) - 1), live[:steps]
+        before, m, n = (room(k, (units, width), dtype) for k, units in (("before", UNITS + 1), ("m", 3 * UNITS), ("n", UNITS)))
+        a, hs = room("a", (steps, 3 * UNITS, width), dtype), room("hs", (UNITS, steps, width), dtype)
+        np.copyto(a, np.take(table, given[place], axis=0, out=room("rows", (steps, width, 3 * UNITS), dtype), mode="clip").transpose(0, 2, 1))
+        before[UNITS] = 1
         for t in range(steps):
-            h = _step(p, a[t], h)[4]
-            hs[t] = h
-        m = live[:steps]
-        lp, _ = _outputs(p, v, hs[m], flat[place[m]])
-        out += np.bincount(np.broadcast_to(doc, m.shape)[m], lp, len(out))
+            before[:UNITS] = h
+            _step(u, a[t], before, m, n, h)
+            hs[:, t] = h
+        of = np.flatnonzero(live)
+        held[:, size : size + len(of)] = np.take(hs.reshape(UNITS, -1), of, axis=1)
+        waiting.append((np.broadcast_to(doc, live.shape)[live], flat[place[live]]))
+        size += len(of)
+        if size > held.shape[1] - WINDOW * SLOTS:
+            give()
+            waiting, size = [], 0
         at += WINDOW
         done = np.flatnonzero(at >= ends[doc])
         new = queue[taken : taken + len(done)]
         taken += len(new)
         put, gone = done[: len(new)], done[len(new) :]
-        doc[put], at[put], h[put] = new, starts[new], 0
+        doc[put], at[put], h[:, put] = new, starts[new], 0
         if len(gone):
-            doc, at, h = np.delete(doc, gone), np.delete(at, gone), np.delete(h, gone, 0)
+            doc, at, h = np.delete(doc, gone), np.delete(at, gone), np.delete(h, gone, 1)
+    if size:
+        give()
     return out
 
 
