@@ -119,8 +119,9 @@ def fenced_json(c: Column) -> Column:
 
 
 def marker_confidence(text: Column) -> Column:
-    n = F.length(strip(F.coalesce(text, F.lit(""))))
-    return F.when(F.coalesce(text, F.lit("")) == "", 0.0).when(n < 20, 0.2).when(n < 100, 0.4).otherwise(0.8)
+    """By length: below 20 characters stripped, below 100 as they are."""
+    raw = F.coalesce(text, F.lit(""))
+    return F.when(raw == "", 0.0).when(F.length(strip(raw)) < 20, 0.2).when(F.length(raw) < 100, 0.4).otherwise(0.8)
 
 
 def vision_first_confidence(text: Column) -> Column:

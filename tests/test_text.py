@@ -60,3 +60,8 @@ def test_fences_hashes_embedding(spark):
     assert values(spark, ["1010", "101"], lambda c: T.bit_similarity(c, F.lit("1010"))) == [1.0, 0.0]
     v = values(spark, ["a b c", ""], lambda c: providers.hashed_embedding(c, 8))
     assert sum(x * x for x in v[0]) == pytest.approx(1) and v[1] == [0.0] * 8
+
+
+def test_marker_ladder_counts_blanks_from_100_on(spark):
+    texts = [None, "", " " * 120, "x" * 19 + " " * 100, "x" * 30 + " " * 69, "x" * 30 + " " * 70, " " * 5 + "x" * 95, "x" * 99, "x" * 100]
+    assert values(spark, texts, T.marker_confidence, "string") == [0.0, 0.0, 0.2, 0.2, 0.4, 0.8, 0.8, 0.4, 0.8]
