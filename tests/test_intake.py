@@ -186,6 +186,12 @@ def test_readers_and_confidence(spark):
     assert routing.routed(kinds, "legacy").count() == 0 and {r.track for r in routing.routed(kinds, "vision_first").collect()} == {"text"}
 
 
+def test_a_text_of_100_characters_with_blanks_is_taken_from_the_text_reader(spark):
+    rows = [(1, "text", 10, "x" * 30 + " " * 70, "seen", None), (2, "text", 10, "x" * 30 + " " * 69, "seen", None)]
+    got = routing.results(spark.createDataFrame(rows, "doc_id long, track string, size long, marked string, seen string, analysis string"))
+    assert [tuple(r)[2:] for r in got.orderBy("doc_id").collect()] == [("marker", "x" * 30 + " " * 70, 0.8), ("vision", "seen", 0.7)]
+
+
 def test_providers_are_asked_in_turn_for_what_is_left(spark):
     def even(frames):
         for f in frames:
