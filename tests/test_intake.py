@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from caseloom.functions import providers
 from caseloom.functions import text as T
 from caseloom.operators import batch, duplicates, graph, patterns, quality, routing, search, validate
+from caseloom.plans import retrieval
 from caseloom.sources import files
 from caseloom.streaming import sessions
 
@@ -160,6 +161,20 @@ def test_look_alikes_equal_all_pairs(spark):
     assert got == {(p, a, b) for p, a in pages for q, b in pages if p == q and a < b and near(a, b)} and got
 
 
+def test_look_alikes_compare_blocks_once(spark):
+    rng = np.random.default_rng(6)
+    hashes = ["".join(x) for x in rng.choice(list("01"), (150, 32))] + ["z" * 32, "\u00e9" + "z" * 31, "01"]
+    df = spark.createDataFrame([(1 + k % 2, h) for k, h in enumerate(hashes)] + [(1, hashes[0]), (None, hashes[2]), (1, None)], "page_count int, phash string")
+    found = duplicates.look_alikes(df, 0.7, 32, rows=16)
+    got = [tuple(r) for r in found.collect()]
+    share = lambda a, b: sum(x == y for x, y in zip(a, b)) / 32
+    pages = {(1 + k % 2, h) for k, h in enumerate(hashes) if len(h) == 32}
+    want = sorted((p, a, b, share(a, b)) for p, a in pages for q, b in pages if p == q and a < b and share(a, b) >= 0.7)
+    assert sorted(got) == want and want
+    # No row of the plan is a pair of hashes, but those that are found.
+    assert "piece" not in found._jdf.queryExecution().toString() and "CoGroup" in found._jdf.queryExecution().toString()
+
+
 def test_redaction_boxes():
     mask = np.zeros((60, 80), bool)
     mask[5:15, 10:40] = True
@@ -289,3 +304,9 @@ def test_search_takes_every_query(spark):
                 best = sorted(part, key=lambda k: (-round(float(u[q] @ u[k]), 6), k))[:4]
                 want |= {(q, k, r + 1) for r, k in enumerate(best)}
         assert {(r.query_id, r.vec_id, r["rank"]) for r in got} == want
+
+
+def test_a_sketch_stands_beside_no_user(spark, sf):
+    plan = retrieval.approximate_users(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    aggregates = [line for line in plan.splitlines() if "Aggregate(" in line and "user_id#" in line.partition("functions=")[0]]
+    assert aggregates and not any("approx_count_distinct" in line for line in aggregates)
