@@ -89,19 +89,57 @@ def similar_counts(prints: DataFrame, ratio: float = 0.9) -> DataFrame:
     return docs.join(counted, on).select("doc_id", "class_id", "n_links")
 
 
-def look_alikes(prints: DataFrame, least: float = 0.9, length: int = 64) -> DataFrame:
+def look_alikes(prints: DataFrame, least: float = 0.9, length: int = 64, rows: int = 4096) -> DataFrame:
     """(a, b, similarity) of distinct perceptual hashes of one page count that agree in ``least`` of their bits.
 
-    Exact: hashes of ``length`` bits that differ in d bits at most agree in one of d + 1 pieces, so only
-    hashes that share a piece are compared. Equal hashes are one row of ``phash``, joined back by it.
+    Exact, so every pair of one page count is compared, but as packed bits: blocks of ``rows`` hashes meet, each
+    pair of blocks in one task's memory, and only pairs that agree leave it. Rows grow with hashes times
+    blocks, not with pairs. Equal hashes are one row of ``phash``, joined back by it.
     """
-    differ = int(length * (1 - least) + 1e-9)
-    cuts = [round(k * length / (differ + 1)) for k in range(differ + 2)]
-    pieces = F.array(*[F.concat(F.lit(f"{k}:"), F.substring("phash", a + 1, z - a)) for k, (a, z) in enumerate(zip(cuts, cuts[1:]))])
-    kinds = prints.where(F.length("phash") == length).select("page_count", "phash").distinct().withColumn("piece", F.explode(pieces))
-    b = kinds.withColumnRenamed("phash", "b")
-    met = kinds.withColumnRenamed("phash", "a").join(b, ["page_count", "piece"]).where("a < b").select("page_count", "a", "b").distinct()
-    return met.withColumn("similarity", T.bit_similarity(F.col("a"), F.col("b"))).where(F.col("similarity") >= least)
+    most = max((d for d in range(length + 1) if (length - d) / length >= least), default=-1)
+    kinds = prints.where(F.length("phash") == length).select("page_count", "phash").distinct()
+    blocks = kinds.groupBy("page_count").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("_n"))
+    placed = kinds.join(blocks, "page_count").withColumn("_block", F.pmod(F.xxhash64("phash"), F.col("_n")).cast("int"))
+    left = placed.select("page_count", "phash", F.col("_block").alias("_i"), F.explode(F.sequence("_block", F.col("_n") - 1)).alias("_j"))
+    right = placed.select(F.col("page_count").alias("page_count"), F.col("phash").alias("phash"), F.explode(F.sequence(F.lit(0), "_block")).alias("_i"), F.col("_block").alias("_j"))
+
+    def packed(hashes: list[str]) -> np.ndarray:
+        """(bit, hash, word): the bits of characters that aren't the same everywhere, of 64 characters a word; 0 and 1 take one bit."""
+        codes = np.frombuffer("".join(hashes).encode("utf-32-le"), np.uint32).reshape(-1, length)
+        varied = int(np.bitwise_or.reduce(codes ^ codes[0, 0], axis=None))
+        wide = np.zeros((len(codes), -(-length // 64) * 64), np.uint8)
+        planes = []
+        for k in [k for k in range(varied.bit_length()) if varied >> k & 1] or [0]:
+            wide[:, :length] = codes >> k & 1
+            planes.append(np.packbits(wide, axis=1).view(np.uint64))
+        return np.stack(planes)
+
+    def meet(x, y):
+        import pyarrow as pa
+
+        kind = (x if len(x) else y).schema.field("page_count").type
+        out = {"page_count": [pa.array([], kind)], "x": [pa.array([], pa.string())], "y": [pa.array([], pa.string())], "similarity": [pa.array([], pa.float64())]}
+        if len(x) and len(y):
+            page, same = x["page_count"][0], x["_i"][0] == x["_j"][0]
+            y = x if same else y  # rows of one block come in any order
+            names = [pa.array(t["phash"].to_pylist(), pa.string()) for t in (x, y)]
+            bits = packed([*names[0].to_pylist(), *names[1].to_pylist()])
+            a, b = bits[:, : len(x)], bits[:, len(x) :]
+            for k in range(0, len(x), 256):
+                # A character differs where one of its bits does.
+                unlike = reduce(np.bitwise_or, [p[k : k + 256, None] ^ q[None] for p, q in zip(a, b)])
+                apart = np.bitwise_count(unlike).sum(2, dtype=np.int32)
+                i, j = np.nonzero(apart <= most)
+                keep = i + k < j if same else slice(None)
+                i, j = i[keep], j[keep]
+                share = (length - apart[i, j]) / length
+                for name, column in zip(out, (pa.repeat(page, len(i)), names[0].take(pa.array(i + k)), names[1].take(pa.array(j)), pa.array(share, pa.float64()))):
+                    out[name].append(column)
+        return pa.table({name: pa.chunked_array(columns) for name, columns in out.items()})
+
+    by = ["page_count", "_i", "_j"]
+    met = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(meet, f"page_count {prints.schema['page_count'].dataType.simpleString()}, x string, y string, similarity double")
+    return met.select("page_count", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "similarity")
 
 
 def best_source(docs: DataFrame, regions: DataFrame) -> DataFrame:
