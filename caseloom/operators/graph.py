@@ -30,13 +30,6 @@ def last_writer(df: DataFrame, keys: list[str], values: list[str], order: str |
     return df.groupBy(*keys).agg(*[F.max_by(F.col(v), F.when(F.col(v).isNotNull(), by)).alias(v) for v in values])
 
 
-def upsert_map(facts: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key with all properties ever set, each from its last writer (``ord``); ``props`` is a map."""
-    flat = facts.select(*keys, "ord", F.explode_outer("props").alias("name", "value"))
-    last = flat.groupBy(*keys, "name").agg(F.max_by("value", "ord").alias("value"))
-    return last.groupBy(*keys).agg(F.map_from_entries(F.filter(F.collect_list(F.struct("name", "value")), lambda e: e["name"].isNotNull())).alias("props"))
-
-
 NODE_KEY = ["label", "key"]
 EDGE_KEY = ["src_label", "src_key", "rel", "dst_label", "dst_key"]
 
@@ -56,56 +49,76 @@ def ingest(extractions: DataFrame, aliases: DataFrame) -> tuple[DataFrame, DataF
     them, not distinct nodes. A second ingest of the same input changes nothing.
     """
     docs = extractions.where("doc_id IS NOT NULL")
-    entry = lambda *pairs: F.create_map(*[x for k, c in pairs for x in (F.lit(k), c)])
 
-    def named(column: str, label: str, props) -> DataFrame:
+    def named(column: str) -> DataFrame:
         e = _listed(docs, column).withColumn("name", F.col("e.name")).where(T.valid_name(F.col("name")))
-        return resolve(e, "name", aliases).select("doc_id", "ord", F.lit(label).alias("label"), F.col("name").alias("key"), T.safe_props(props).alias("props"))
+        return resolve(e, "name", aliases)
 
     def members(e: DataFrame, column: str) -> DataFrame:
-        m = e.select("doc_id", "ord", "key", F.explode(column).alias("name")).where(T.valid_name(F.col("name")))
+        m = e.select("doc_id", "ord", "idx", "key", F.explode(column).alias("name")).where(T.valid_name(F.col("name")))
         return resolve(m, "name", aliases)
 
     # An organization without a context is described by its description, where records have one.
     fields = docs.schema["organizations"].dataType.elementType.fieldNames()
     context = F.nullif(F.col("e.context"), F.lit(""))
     described = F.coalesce(context, F.col("e.description")) if "description" in fields else F.col("e.context")
-    entities = [
-        named("people", "Person", entry(("role", F.col("e.role")), ("description", F.col("e.context")))),
-        named("locations", "Location", entry(("address", F.col("e.address")), ("location_type", F.col("e.location_type")), ("description", F.col("e.context")))),
-        named("organizations", "Organization", entry(("org_type", F.col("e.org_type")), ("description", described))),
-    ]
+    people, locations, organizations = (named(c) for c in ("people", "locations", "organizations"))
     filled = lambda c: T.strip(F.coalesce(c, F.lit(""))) != ""
-    key = lambda kind: F.format_string(f"%s_{kind}_%d", "doc_id", "idx")
+    key = lambda kind: F.concat(F.col("doc_id").cast("string"), F.lit(f"_{kind}_"), F.col("idx").cast("string")).alias("key")
     events = _listed(docs, "events").where(filled(F.col("e.description"))).withColumn("key", key("evt"))
     places = members(events.withColumn("place", F.array("e.location")), "place")
     taking = members(events, "e.participants")
     claims = _listed(docs, "allegations").where(filled(F.col("e.description"))).withColumn("key", key("alg"))
     accused, victims = members(claims, "e.accused"), members(claims, "e.victims")
-    claims = claims.join(accused.select("key").union(victims.select("key")).distinct(), "key", "left_semi")
-    pairs = _listed(docs, "associations").select("doc_id", "ord", F.col("e.person_a").alias("a"), F.col("e.person_b").alias("b"), entry(("nature", F.col("e.nature")), ("timeframe", F.col("e.timeframe"))).alias("props"))
-    pairs = resolve(resolve(pairs.where(T.valid_name(F.col("a")) & T.valid_name(F.col("b"))), "a", aliases), "b", aliases).where("a != b").withColumn("props", T.safe_props(F.col("props")))
+    anyone = lambda c: F.coalesce(F.exists(c, lambda x: T.valid_name(x)), F.lit(False))
+    claims = claims.where(anyone(F.col("e.accused")) | anyone(F.col("e.victims")))
+    clean = lambda c: F.nullif(T.pipe_clean(c), F.lit(""))
+    pairs = _listed(docs, "associations").select("doc_id", "ord", F.col("e.person_a").alias("a"), F.col("e.person_b").alias("b"), clean(F.col("e.nature")).alias("nature"), clean(F.col("e.timeframe")).alias("timeframe"))
+    pairs = resolve(resolve(pairs.where(T.valid_name(F.col("a")) & T.valid_name(F.col("b"))), "a", aliases), "b", aliases).where("a != b")
 
-    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
-    node = lambda df, label, k, props: df.select("doc_id", "ord", F.lit(label).alias("label"), F.col(k).alias("key"), props.alias("props"))
-    counted = [
-        docs.select("doc_id", F.struct("doc_id", F.lit(-1).alias("idx")).alias("ord"), F.lit("Document").alias("label"), F.col("doc_id").alias("key"), T.safe_props(entry(("doc_type", F.col("doc_type")))).alias("props")),
-        *entities,
-        node(events, "Event", "key", T.safe_props(entry(("event_type", F.col("e.event_type")), ("date", F.col("e.date")), ("description", F.col("e.description"))))),
-        node(claims, "Allegation", "key", T.safe_props(entry(("description", F.col("e.description")), ("severity", F.col("e.severity")), ("status", F.col("e.status"))))),
-    ]
-    ensured = [node(m, label, "name", none) for m, label in ((taking, "Person"), (places, "Location"), (accused, "Person"), (victims, "Person"))] + [node(pairs, "Person", k, none) for k in ("a", "b")]
+    document = docs.select("doc_id", F.struct("doc_id", F.lit(-1).alias("idx")).alias("ord"), F.col("doc_id").alias("key"), "doc_type")
     union = lambda frames: reduce(DataFrame.unionByName, frames)
-    nodes = upsert_map(union(counted + ensured), NODE_KEY)
-    edge = lambda df, a, ak, kind, b, bk, props=none: df.select("doc_id", "ord", F.lit(a).alias("src_label"), F.col(ak).alias("src_key"), F.lit(kind).alias("rel"), F.lit(b).alias("dst_label"), F.col(bk).alias("dst_key"), props.alias("props"))
-    links = [edge(e, label, "key", "MENTIONED_IN", "Document", "doc_id") for e, label in zip(entities, ("Person", "Location", "Organization"))]
-    links += [edge(events, "Event", "key", "DOCUMENTED_IN", "Document", "doc_id"), edge(claims, "Allegation", "key", "DOCUMENTED_IN", "Document", "doc_id")]
-    links += [edge(taking, "Person", "name", "PARTICIPATED_IN", "Event", "key"), edge(places, "Event", "key", "OCCURRED_AT", "Location", "name")]
-    links += [edge(accused, "Person", "name", "ALLEGED_IN", "Allegation", "key"), edge(victims, "Person", "name", "VICTIM_OF", "Allegation", "key"), edge(pairs, "Person", "a", "ASSOCIATED_WITH", "Person", "b", F.col("props"))]
-    every = union(links)
-    edges = upsert_map(every, EDGE_KEY)
-    stats = union(counted).groupBy("doc_id").agg(F.count(F.lit(1)).alias("nodes")).join(every.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rels")), "doc_id", "left").select("doc_id", "nodes", F.coalesce("rels", F.lit(0)).cast("long").alias("rels"))
-    return nodes, edges, stats
+    nodes = []
+    for label, df, k, props in (
+        ("Document", document, "key", {"doc_type": F.col("doc_type")}),
+        ("Person", people, "name", {"role": F.col("e.role"), "description": F.col("e.context")}),
+        ("Location", locations, "name", {"address": F.col("e.address"), "location_type": F.col("e.location_type"), "description": F.col("e.context")}),
+        ("Organization", organizations, "name", {"org_type": F.col("e.org_type"), "description": described}),
+        ("Event", events, "key", {"event_type": F.col("e.event_type"), "date": F.col("e.date"), "description": F.col("e.description")}),
+        ("Allegation", claims, "key", {"description": F.col("e.description"), "severity": F.col("e.severity"), "status": F.col("e.status")}),
+    ):
+        kind = F.lit(label).alias("label")
+        rows = df.select("ord", kind, F.col(k).alias("key"), *[clean(c).alias(n) for n, c in props.items()])
+        # Names that only have to be there have nothing to order; each comes once.
+        named_in = {"Person": [(taking, "name"), (accused, "name"), (victims, "name"), (pairs, "a"), (pairs, "b")], "Location": [(places, "name")]}.get(label)
+        if named_in:
+            rows = rows.unionByName(union([m.select(kind, F.col(c).alias("key")) for m, c in named_in]).distinct(), allowMissingColumns=True)
+        nodes.append(last_writer(rows, NODE_KEY, list(props), "ord").select(*NODE_KEY, _present(list(props))))
+
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+
+    def linked(df: DataFrame, a: str, ak, kind: str, b: str, bk, by: list[str]) -> DataFrame:
+        """Links that ``by`` tells apart: their keys are made of it, so it alone is shuffled."""
+        return df.select(*by).distinct().select(F.lit(a).alias("src_label"), ak.alias("src_key"), F.lit(kind).alias("rel"), F.lit(b).alias("dst_label"), bk.alias("dst_key"), none.alias("props"))
+
+    name, doc = F.col("name"), F.col("doc_id")
+    member = ["doc_id", "idx", "name"]
+    links = [linked(e, label, name, "MENTIONED_IN", "Document", doc, ["doc_id", "name"]) for e, label in ((people, "Person"), (locations, "Location"), (organizations, "Organization"))]
+    links += [linked(e, label, key(kind), "DOCUMENTED_IN", "Document", doc, ["doc_id", "idx"]) for e, label, kind in ((events, "Event", "evt"), (claims, "Allegation", "alg"))]
+    links += [linked(taking, "Person", name, "PARTICIPATED_IN", "Event", key("evt"), member), linked(places, "Event", key("evt"), "OCCURRED_AT", "Location", name, member)]
+    links += [linked(accused, "Person", name, "ALLEGED_IN", "Allegation", key("alg"), member), linked(victims, "Person", name, "VICTIM_OF", "Allegation", key("alg"), member)]
+    known = last_writer(pairs, ["a", "b"], ["nature", "timeframe"], "ord")
+    bonds = known.select(F.lit("Person").alias("src_label"), F.col("a").alias("src_key"), F.lit("ASSOCIATED_WITH").alias("rel"), F.lit("Person").alias("dst_label"), F.col("b").alias("dst_key"), _present(["nature", "timeframe"]))
+    count = lambda df, n, r: df.select("doc_id", F.lit(n).alias("nodes"), F.lit(r).alias("rels"))
+    steps = [count(document, 1, 0)] + [count(df, 1, 1) for df in (people, locations, organizations, events, claims)] + [count(df, 0, 1) for df in (taking, places, accused, victims, pairs)]
+    stats = union(steps).groupBy("doc_id").agg(F.sum("nodes").alias("nodes"), F.sum("rels").alias("rels"))
+    return union(nodes), union([*links, bonds]), stats
+
+
+def _present(names: list[str]) -> Column:
+    """Columns as a map ``props``, those without a value left out."""
+    every = F.create_map(*[x for n in names for x in (F.lit(n), F.col(n))])
+    return F.map_filter(every, lambda _, v: v.isNotNull()).alias("props")
 
 
 def merge_properties(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -131,11 +144,11 @@ def ingest_batch(records: DataFrame, schema: str, aliases: DataFrame, settle=Non
     parsed = settle(parsed) if settle else parsed
     bad = F.col("_p").isNull() | F.col("_p._bad").isNotNull()
     nodes, edges, stats = ingest(parsed.where(~bad).select("_p.*").drop("_bad"), aliases)
-    counts = records.select(F.lit(1).alias("total")).agg(F.count(F.lit(1)).alias("total"))
     failed = parsed.where(bad).select("doc_id", F.lit("unreadable record").alias("error"))
     sums = stats.agg(F.coalesce(F.sum("nodes"), F.lit(0)).alias("nodes"), F.coalesce(F.sum("rels"), F.lit(0)).alias("rels"))
-    wrong = failed.agg(F.count(F.lit(1)).alias("failed"))
-    one = counts.crossJoin(F.broadcast(wrong)).crossJoin(F.broadcast(sums))  # one row each
+    # Both counts are taken where the records are parsed already: the records themselves may be dear to make again.
+    counts = parsed.select(bad.alias("bad")).agg(F.count(F.lit(1)).alias("total"), F.count_if("bad").alias("failed"))
+    one = counts.crossJoin(F.broadcast(sums))  # one row each
     return nodes, edges, one.select("total", (F.col("total") - F.col("failed")).alias("succeeded"), "failed", "nodes", "rels"), failed
 
 

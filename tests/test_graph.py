@@ -94,3 +94,21 @@ def test_stream_equals_batch_for_closed_sessions(spark, sf, tmp_path):
     whole = spark.read.parquet(f"{sf}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp")).groupBy("user_id", F.session_window("ts", "1 hour").alias("w")).count()
     whole = {(r.user_id, r.w.start, r["count"]) for r in whole.collect()}
     assert {(r.user_id, r.start_ts, r.n) for r in got.collect()} <= whole
+
+
+def test_links_that_a_document_makes_are_only_made_distinct(spark, tmp_path):
+    raw = spark.createDataFrame([("D1", '{"doc_id": "D1", "people": [{"name": "Ada"}, {"name": "Ada"}]}'), ("D2", "{")], "doc_id string, json string")
+    aliases = spark.createDataFrame([], "alias string, canonical string")
+
+    def settle(df):
+        df.write.parquet(str(tmp_path / "parsed"))
+        return spark.read.parquet(str(tmp_path / "parsed"))
+
+    fields = ",".join(f"{x.name}:{x.dataType.simpleString()}" for x in spark.createDataFrame([], SCHEMA).schema)
+    nodes, edges, summary, failed = graph.ingest_batch(raw, f"struct<{fields},_bad:string>", aliases, settle)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "max_by" not in plan(edges.where("rel <> 'ASSOCIATED_WITH'"))
+    # Records are read where they are parsed already.
+    assert "json#" not in plan(summary)
+    assert [tuple(r) for r in summary.collect()] == [(2, 1, 1, 3, 2)]
+    assert edges.count() == 1 and nodes.count() == 2 and failed.count() == 1
