@@ -8,63 +8,82 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DoubleType, IntegerType
 
 from . import graph
 
 
-def _blocks(df: DataFrame, key: str, columns: list[str], rows: int) -> DataFrame:
-    """``rows`` rows a block, about, as one list of structs; a block for an empty table doesn't come."""
+def _blocks(df: DataFrame, key: str, rows: int) -> tuple[DataFrame, int]:
+    """``df`` with the number ``_block`` of a row's block of about ``rows`` rows, and how many blocks there are."""
     n = max(1, -(-df.count() // rows))
-    block = F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
-    return df.groupBy(block.alias("_block")).agg(F.collect_list(F.struct(*columns)).alias("items"))
+    return df.withColumn("_block", F.pmod(F.xxhash64(key), F.lit(n)).cast("int")), n
 
 
-def vector_topk(vectors: DataFrame, queries: DataFrame, k: int = 20, by: str | None = None, rows: int = 4096) -> DataFrame:
+def vector_topk(vectors: DataFrame, queries: DataFrame, k: int = 20, by: str | None = None, rows: int = 16384) -> DataFrame:
     """For each of ``queries`` (query_id, query) the ``k`` nearest of ``vectors`` (vec_id, embedding, ...) by cosine.
 
     Columns: query_id, vec_id, [by,] sim and rank, over all or within each value of ``by``; ties by vec_id.
     Blocks of queries meet blocks of vectors, each pair of blocks gives its ``k`` best by a matrix product in
     double precision, and only these meet again: rows grow with queries times blocks, not times vectors.
+    A task's Python holds one pair of blocks at a time, as arrays of numbers, and the products of 128 queries.
     Null, zero and non-finite vectors, and those of another length, are near to nothing.
     """
     kind, qkind = (df.schema[c].dataType.simpleString() for df, c in ((vectors, "vec_id"), (queries, "query_id")))
     label = vectors.schema[by].dataType.simpleString() if by else "int"
-    side = vectors.select(F.col("vec_id").alias("id"), (F.col(by) if by else F.lit(0)).alias("label"), F.col("embedding").cast("array<double>").alias("v")).where("v IS NOT NULL")
-    asked = queries.select(F.col("query_id").alias("id"), F.col("query").cast("array<double>").alias("v")).where("v IS NOT NULL")
-    left = _blocks(asked, "id", ["id", "v"], rows // 4).select(F.col("items").alias("q"))
-    right = _blocks(side, "id", ["id", "label", "v"], rows).select(F.col("items").alias("x"))
-
-    def unit(items, dim: int):
+    fields = [to_arrow_type(t) for t in (queries.schema["query_id"].dataType, vectors.schema["vec_id"].dataType, vectors.schema[by].dataType if by else IntegerType(), DoubleType())]
+    # Floats are shuffled as they are, half as wide.
+    numbers = lambda df, c: F.col(c) if df.schema[c].dataType.simpleString() == "array<float>" else F.col(c).cast("array<double>")
+    side = vectors.select(F.col("vec_id").alias("id"), (F.col(by) if by else F.lit(0)).alias("label"), numbers(vectors, "embedding").alias("v")).where("v IS NOT NULL")
+    asked = queries.select(F.col("query_id").alias("id"), numbers(queries, "query").alias("v")).where("v IS NOT NULL")
+    (left, n), (right, m) = _blocks(asked, "id", rows // 4), _blocks(side, "id", rows)
+    each = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    left = left.select(F.col("id").alias("id"), F.col("v").alias("v"), F.col("_block").alias("_q"), each(m).alias("_x"))
+    right = right.select(F.col("id").alias("id"), "label", F.col("v").alias("v"), each(n).alias("_q"), F.col("_block").alias("_x"))
+
+    def parts(t):
+        """(dimension, places, unit vectors) of the vectors of each length that have a direction."""
         import numpy as np
 
-        v = [np.asarray(i["v"], float) for i in items]
-        ok = np.array([len(x) == dim and np.isfinite(x).all() and bool(np.any(x)) for x in v], bool)
-        m = np.array([x for x, good in zip(v, ok) if good]).reshape(-1, dim)
-        return [i for i, good in zip(items, ok) if good], m / np.linalg.norm(m, axis=1, keepdims=True)
+        v = t["v"].combine_chunks()
+        size = np.diff(v.offsets.to_numpy())
+        flat, start = v.values.to_numpy(zero_copy_only=False).astype(float), v.offsets.to_numpy()[:-1]
+        for dim in np.unique(size[size > 0]):
+            at = np.flatnonzero(size == dim)
+            x = flat[start[at][:, None] + np.arange(dim)]
+            good = np.isfinite(x).all(1) & x.any(1)
+            yield dim, at[good], x[good] / np.linalg.norm(x[good], axis=1, keepdims=True)
 
-    def meet(frames):
+    def meet(q, x):
         import numpy as np
         import pandas as pd
-
-        for pdf in frames:
-            for q, x in zip(pdf["q"], pdf["x"]):
-                out = []
-                for dim in {len(i["v"]) for i in q} - {0}:
-                    qi, qm = unit(q, dim)
-                    xi, xm = unit(x, dim)
-                    if not len(qi) or not len(xi):
-                        continue
-                    ids, labels = np.array([i["id"] for i in xi]), np.array([i["label"] for i in xi])
-                    places = [np.flatnonzero(labels == value) for value in pd.unique(labels)] if by else [np.arange(len(xi))]
-                    sims = np.round(qm @ xm.T, 6)
-                    for i, sim in zip(qi, sims):
-                        for at in places:
-                            best = at[np.lexsort((ids[at], -sim[at]))[:k]]
-                            out += zip([i["id"]] * len(best), ids[best], labels[best], sim[best])
-                yield pd.DataFrame(out, columns=["query_id", "vec_id", "label", "sim"])
-
-    pairs = left.crossJoin(right)  # blocks with blocks
-    found = pairs.repartition(max(1, vectors.sparkSession.sparkContext.defaultParallelism * 4)).mapInPandas(meet, f"query_id {qkind}, vec_id {kind}, label {label}, sim double")
+        import pyarrow as pa
+
+        out = [[], [], [], []]
+        if len(q) and len(x):
+            theirs = {dim: (at, u) for dim, at, u in parts(x)}
+            names, every, kinds = q["id"].to_pylist(), np.array(x["id"].to_pylist()), np.array(x["label"].to_pylist())
+            for dim, ours, units in parts(q):
+                if dim not in theirs or not len(ours) or not len(theirs[dim][0]):
+                    continue
+                at, u = theirs[dim]
+                ids, labels = every[at], kinds[at]
+                places = [np.flatnonzero(labels == value) for value in pd.unique(labels)] if by else [np.arange(len(at))]
+                for a in range(0, len(ours), 128):
+                    sims = np.round(units[a : a + 128] @ u.T, 6)
+                    for place in places:
+                        some = sims[:, place]
+                        least = np.partition(some, len(place) - k, axis=1)[:, len(place) - k] if len(place) > k else np.full(len(some), -np.inf)
+                        for i, row in enumerate(some):
+                            near = np.flatnonzero(row >= least[i])  # the k nearest and what ties with the last
+                            near = near[np.lexsort((ids[place[near]], -row[near]))[:k]]
+                            out[0] += [names[ours[a + i]]] * len(near)
+                            for column, found in zip(out[1:], (ids[place[near]], labels[place[near]], row[near])):
+                                column += found.tolist()
+        return pa.table({c: pa.array(values, t) for c, values, t in zip(("query_id", "vec_id", "label", "sim"), out, fields)})
+
+    # A pair of blocks is one group: no task has several of them in memory at once.
+    found = left.groupBy("_q", "_x").cogroup(right.groupBy("_q", "_x")).applyInArrow(meet, f"query_id {qkind}, vec_id {kind}, label {label}, sim double")
     part = W.partitionBy("query_id", "label").orderBy(F.desc("sim"), "vec_id")
     best = found.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= k)
     return best.withColumnRenamed("label", by) if by else best.drop("label")

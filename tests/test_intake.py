@@ -310,3 +310,23 @@ def test_a_sketch_stands_beside_no_user(spark, sf):
     plan = retrieval.approximate_users(spark, sf)._jdf.queryExecution().executedPlan().toString()
     aggregates = [line for line in plan.splitlines() if "Aggregate(" in line and "user_id#" in line.partition("functions=")[0]]
     assert aggregates and not any("approx_count_distinct" in line for line in aggregates)
+
+
+def test_search_holds_one_pair_of_blocks_at_a_time(spark):
+    rng = np.random.default_rng(2)
+    x = rng.integers(-2, 3, (90, 2)).astype(float)  # many ties and zeros
+    rows = [(f"v{k:02}", [*v, float("nan")] if k == 5 else [None, 1.0] if k == 6 else [*v, 1.0] if k % 9 == 4 else v, None if k % 7 == 0 else "a") for k, v in enumerate(x.tolist())]
+    df = spark.createDataFrame(rows, "vec_id string, embedding array<float>, label string")
+    asked = df.where("vec_id < 'v20'").select(F.hash("vec_id").alias("query_id"), F.col("vec_id").alias("name"), F.col("embedding").alias("query"))
+    found = search.vector_topk(df, asked, 3, rows=8)
+    assert "CoGroup" in found._jdf.queryExecution().toString() and "collect_list" not in found._jdf.queryExecution().toString()
+    vectors = {k: [np.nan if e is None else e for e in v] for k, v, _ in rows}
+    good = {k: np.array(v) / np.linalg.norm(v) for k, v in vectors.items() if np.isfinite(v).all() and np.any(v)}
+    want = set()
+    for q in asked.collect():
+        if q.name in good:
+            near = [(-round(float(good[q.name] @ u), 6), k) for k, u in good.items() if len(u) == len(good[q.name])]
+            want |= {(q.query_id, k, r + 1) for r, (_, k) in enumerate(sorted(near)[:3])}
+    assert {(r.query_id, r.vec_id, r["rank"]) for r in found.collect()} == want
+    assert search.vector_topk(df, asked.where("false"), 3, "label", rows=8).count() == 0
+    assert search.vector_topk(df.where("false"), asked, 3, "label", rows=8).count() == 0
